@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliploom.llm import tokens
-from cliploom.session import table
+from cliploom.llm import clips, cutoffs, tokens
+from cliploom.session import table, write_table
 
 TOKENIZER = "byte_bpe_50k"
+#: The models whose scores clips carry; fixed names of the data model.
+MODELS = ["dover", "dover_tech", "aes", "motion"]
 
 
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -16,6 +18,48 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", tokens.token_ids(spark, F.col("text"), TOKENIZER).alias("ids"))
 
 
-QUERIES = {"p6_ids": p6_ids}
+def shard_scores(spark: SparkSession, d: str) -> DataFrame:
+    """(source, name, id, value): valid scores of current versions by non-null shard, written once."""
+    names = [r["name"] for r in table(spark, d, "keep_targets").select("name").distinct().collect()]  # configuration
+    columns = {"shard": F.col("shard")} | {f"s_{m}": clips.score(m) for m in names}
+    rows = clips.current_versions(table(spark, d, "clip_results"), columns).where("shard is not null")
+    rows = write_table(rows, "current-scores")
+    return clips.long_scores(rows, [F.col("shard").alias("source"), F.col("clip_id").alias("id")], names)
 
-ORACLE: dict[str, str] = {}
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    _, at = cutoffs.cutoffs(shard_scores(spark, d), table(spark, d, "keep_targets"))
+    return at.select(F.col("source").alias("shard"), "name", F.col("id").alias("clip_id"))
+
+
+def p3_cutoffs(spark: SparkSession, d: str) -> DataFrame:
+    """Cutoff and kept size of each shard and model, beside the fixed threshold and what it keeps."""
+    scores = shard_scores(spark, d)
+    cut, _ = cutoffs.cutoffs(scores, table(spark, d, "keep_targets"))
+    fixed = table(spark, d, "score_models").groupBy("name").agg(F.max("threshold").alias("threshold"))
+    passed = scores.join(fixed, "name").groupBy("source", "name").agg(F.count_if(F.expr("value >= threshold")).alias("kept_by_threshold"))
+    got = cut.join(fixed, "name", "left").join(passed, ["source", "name"], "left")
+    return got.select(F.col("source").alias("shard"), "name", "n", "target", "cutoff", "kept", "at_cutoff", "threshold", "kept_by_threshold")
+
+
+QUERIES = {"p3_found": p3_found, "p3_cutoffs": p3_cutoffs, "p6_ids": p6_ids}
+
+_CURRENT = """
+WITH versions AS (SELECT *, row_number() OVER (PARTITION BY clip_id ORDER BY scored_at DESC) AS rn FROM clip_results),
+cur AS (SELECT clip_id, shard, scores FROM versions WHERE rn = 1),
+"""
+_LONG = _CURRENT + """
+e AS (SELECT clip_id, shard, unnest(map_entries(scores)) AS x FROM cur WHERE shard IS NOT NULL),
+s AS (SELECT clip_id, shard, x.key AS name, x.value + 0.0 AS v FROM e WHERE x.value IS NOT NULL AND NOT isnan(x.value)),
+r AS (SELECT s.*, k.keep_fraction, row_number() OVER (PARTITION BY shard, s.name ORDER BY v DESC) AS rn,
+        count(*) OVER (PARTITION BY shard, s.name) AS n FROM s JOIN keep_targets k ON s.name = k.name),
+c AS (SELECT shard, name, v, n, rn FROM r WHERE rn = CAST(ceil(keep_fraction * n) AS BIGINT))
+"""
+ORACLE = {
+    "p3_found": _LONG + "SELECT s.shard, s.name, s.clip_id FROM s JOIN c ON s.shard = c.shard AND s.name = c.name AND s.v = c.v",
+    "p3_cutoffs": _LONG + """
+SELECT c.shard, c.name, c.n, c.rn AS target, c.v AS cutoff, count(*) FILTER (s.v >= c.v) AS kept, count(*) FILTER (s.v = c.v) AS at_cutoff,
+  any_value(m.threshold) AS threshold, count(*) FILTER (s.v >= m.threshold) AS kept_by_threshold
+FROM c JOIN s ON s.shard = c.shard AND s.name = c.name LEFT JOIN score_models m ON m.name = c.name
+GROUP BY c.shard, c.name, c.n, c.rn, c.v""",
+}
