@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cliploom.llm import clips, cutoffs, tokens
+from cliploom.llm import clips, cutoffs, quantiles, rank_fusion, tokens
 from cliploom.session import table, write_table
 
 TOKENIZER = "byte_bpe_50k"
 #: The models whose scores clips carry; fixed names of the data model.
 MODELS = ["dover", "dover_tech", "aes", "motion"]
+PERCENTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
 
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -42,7 +43,63 @@ def p3_cutoffs(spark: SparkSession, d: str) -> DataFrame:
     return got.select(F.col("source").alias("shard"), "name", "n", "target", "cutoff", "kept", "at_cutoff", "threshold", "kept_by_threshold")
 
 
-QUERIES = {"p3_found": p3_found, "p3_cutoffs": p3_cutoffs, "p6_ids": p6_ids}
+def clip_ranking(spark: SparkSession, d: str) -> DataFrame:
+    """The ranking of all clips by current versions, the four scores counting alike."""
+    rows = clips.current_versions(table(spark, d, "clip_results"), {f"s_{m}": clips.score(m) for m in MODELS})
+    return rank_fusion.fuse(write_table(rows, "current-scores"), "clip_id", dict.fromkeys(MODELS, 1.0))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return rank_fusion.best_of(clip_ranking(spark, d), "clip_id", table(spark, d, "review_panels"), "panel_id")
+
+
+def p2_ranking(spark: SparkSession, d: str) -> DataFrame:
+    return clip_ranking(spark, d)
+
+
+def p5_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Percentiles of each shard and model over all scored versions, copies of a row counting once."""
+    rows = table(spark, d, "clip_results").select("shard", "clip_id", "scored_at", *[clips.score(m).alias(m) for m in MODELS])
+    summaries = quantiles.grouped_summaries(rows, "shard", MODELS, ["clip_id", "scored_at"])
+    return quantiles.percentiles(summaries, PERCENTILES)
+
+
+def p5_within_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each percentile's true rank lies within the stated error, and the stated error within 2 % of n."""
+    rows = table(spark, d, "clip_results").select("shard", "clip_id", "scored_at", *[clips.score(m).alias(m) for m in MODELS])
+    got = p5_percentiles(spark, d).groupBy("shard", "name", "n", "value").agg(F.collect_list(F.struct("q", "rank_error")).alias("asked"))
+    once = rows.where("shard is not null").groupBy("shard", "clip_id", "scored_at").agg(*[F.max(m).alias(m) for m in MODELS])
+    long = clips.long_scores(once.withColumnsRenamed({m: f"s_{m}" for m in MODELS}), ["shard"], MODELS)
+    counts = long.groupBy("shard", "name", "value").agg(F.count(F.lit(1)).alias("equal"))
+    upto = F.sum("equal").over(Window.partitionBy("shard", "name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    true = counts.select("shard", "name", "value", (upto - F.col("equal") + 1).alias("first"), upto.alias("last"))
+    each = got.join(true, ["shard", "name", "value"], "left").select("*", F.inline("asked"))
+    wanted = F.greatest(F.lit(1), F.ceil(F.col("q") * F.col("n")))
+    miss = F.greatest(F.col("first") - wanted, wanted - F.col("last"), F.lit(0))
+    ok = F.coalesce((miss <= F.col("rank_error")) & (F.col("rank_error") <= F.greatest(F.lit(2.0), 0.02 * F.col("n"))), F.lit(False))
+    return each.select("shard", "name", "q", "n", ok.alias("within"))
+
+
+def p5_days_combined(spark: SparkSession, d: str) -> DataFrame:
+    """Medians from summaries of separate days, kept by day and merged: the stored form and its use."""
+    rows = table(spark, d, "clip_results").where("shard is not null").select("shard", F.to_date("scored_at").alias("day"), "clip_id", "scored_at", *[clips.score(m).alias(m) for m in MODELS])
+    once = rows.groupBy("shard", "day", "clip_id", "scored_at").agg(*[F.max(m).alias(m) for m in MODELS])
+    parts = quantiles.summarise(once, ["shard", "day"], MODELS)
+    daily = quantiles.merge_summaries(parts, ["shard", "day", "name"])
+    total = quantiles.merge_summaries(daily.withColumnRenamed("day", "part"), ["shard", "name"])
+    return quantiles.percentiles(total, [0.5])
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p2_ranking": p2_ranking,
+    "p3_found": p3_found,
+    "p3_cutoffs": p3_cutoffs,
+    "p5_percentiles": p5_percentiles,
+    "p5_within_bounds": p5_within_bounds,
+    "p5_days_combined": p5_days_combined,
+    "p6_ids": p6_ids,
+}
 
 _CURRENT = """
 WITH versions AS (SELECT *, row_number() OVER (PARTITION BY clip_id ORDER BY scored_at DESC) AS rn FROM clip_results),
@@ -55,7 +112,20 @@ r AS (SELECT s.*, k.keep_fraction, row_number() OVER (PARTITION BY shard, s.name
         count(*) OVER (PARTITION BY shard, s.name) AS n FROM s JOIN keep_targets k ON s.name = k.name),
 c AS (SELECT shard, name, v, n, rn FROM r WHERE rn = CAST(ceil(keep_fraction * n) AS BIGINT))
 """
+_FOUR = "dover", "dover_tech", "aes", "motion"
+_RANKS = _CURRENT + "w AS (SELECT clip_id, " + ", ".join(f"CASE WHEN NOT isnan(scores['{m}']) THEN scores['{m}'] + 0.0 END AS {m}" for m in _FOUR) + " FROM cur),\nr AS (SELECT clip_id, " + " AND ".join(f"{m} IS NOT NULL" for m in _FOUR) + " AS complete, " + ", ".join(
+    f"(rank() OVER (ORDER BY {m} DESC NULLS LAST) + count(*) OVER (ORDER BY {m} DESC NULLS LAST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) / 2.0 AS rank_{m}" for m in _FOUR
+) + " FROM w),\nk AS (SELECT *, list_sort([" + ", ".join(f"rank_{m}" for m in _FOUR) + "]) AS l FROM r),\nf AS (SELECT clip_id, complete, (l[2] + l[3]) / 2 AS median_rank, (" + " + ".join(f"rank_{m}" for m in _FOUR) + ") / 4 AS mean_rank, " + ", ".join(f"rank_{m}" for m in _FOUR) + " FROM k)\n"
+_QS = ", ".join(f"({q})" for q in PERCENTILES)
 ORACLE = {
+    "p2_ranking": _RANKS + "SELECT * FROM f",
+    "p2_found": _RANKS + """
+SELECT panel_id, clip_id FROM (SELECT panel_id, clip_id, row_number() OVER (PARTITION BY panel_id ORDER BY median_rank, mean_rank, clip_id) AS p
+  FROM (SELECT DISTINCT panel_id, clip_id FROM review_panels) JOIN f USING (clip_id) WHERE complete) WHERE p = 1""",
+    "p5_within_bounds": f"""
+WITH e AS (SELECT shard, unnest(map_entries(scores)) AS x FROM (SELECT DISTINCT clip_id, scored_at, shard, scores FROM clip_results) WHERE shard IS NOT NULL),
+s AS (SELECT shard, x.key AS name, count(*) AS n FROM e WHERE x.value IS NOT NULL AND NOT isnan(x.value) AND x.key <> 'sanity' GROUP BY ALL)
+SELECT shard, name, CAST(q AS DOUBLE) AS q, n, true AS within FROM s, (VALUES {_QS}) AS t(q)""",
     "p3_found": _LONG + "SELECT s.shard, s.name, s.clip_id FROM s JOIN c ON s.shard = c.shard AND s.name = c.name AND s.v = c.v",
     "p3_cutoffs": _LONG + """
 SELECT c.shard, c.name, c.n, c.rn AS target, c.v AS cutoff, count(*) FILTER (s.v >= c.v) AS kept, count(*) FILTER (s.v = c.v) AS at_cutoff,
