@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cliploom.llm import clips, cutoffs, quantiles, rank_fusion, tokens
+from cliploom.llm import clips, cutoffs, packing, quantiles, rank_fusion, tokens
 from cliploom.session import table, write_table
 
 TOKENIZER = "byte_bpe_50k"
@@ -90,7 +92,37 @@ def p5_days_combined(spark: SparkSession, d: str) -> DataFrame:
     return quantiles.percentiles(total, [0.5])
 
 
+def _budgets(spark: SparkSession, d: str) -> list:
+    return table(spark, d, "pack_budgets").distinct().orderBy("budget_id").collect()  # configuration
+
+
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    """Container of each text (or piece of a text longer than the capacity) under each budget."""
+    docs, out = table(spark, d, "documents"), []
+    budgets = _budgets(spark, d)
+    sizes = {}
+    for name in {b["tokenizer"] for b in budgets}:
+        sizes[name] = write_table(docs.select("doc_id", tokens.token_counts(spark, F.col("text"), name).alias("size")), "token-counts")
+    for b in budgets:
+        packed = packing.pack(sizes[b["tokenizer"]], b["capacity"], "doc_id")
+        out.append(packed.select(F.lit(b["budget_id"]).alias("budget_id"), F.col("id").alias("doc_id"), "piece", F.col("length").alias("n_tokens"), "container"))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+def p7_usage(spark: SparkSession, d: str) -> DataFrame:
+    """Containers and unused share of each budget, beside the least number of containers any packing needs."""
+    budgets = table(spark, d, "pack_budgets").distinct()
+    used = p7_packed(spark, d).groupBy("budget_id", "container").agg(F.sum("n_tokens").alias("fill"), F.count(F.lit(1)).alias("pieces")).where("container is not null")
+    by = used.groupBy("budget_id").agg(F.count(F.lit(1)).alias("containers"), F.sum("fill").alias("tokens"), F.max("fill").alias("fullest"))
+    return by.join(budgets, "budget_id").select(
+        "budget_id", "capacity", "containers", F.ceil(F.col("tokens") / F.col("capacity")).alias("least"), "tokens", "fullest",
+        (1 - F.col("tokens") / (F.col("containers") * F.col("capacity"))).alias("unused_share"),
+    )
+
+
 QUERIES = {
+    "p7_packed": p7_packed,
+    "p7_usage": p7_usage,
     "p2_found": p2_found,
     "p2_ranking": p2_ranking,
     "p3_found": p3_found,
