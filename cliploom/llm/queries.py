@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cliploom.llm import clips, cutoffs, packing, quantiles, rank_fusion, tokens
+from cliploom.llm import clips, cutoffs, packing, quantiles, rank_fusion, tokens, truncation
 from cliploom.session import table, write_table
 
 TOKENIZER = "byte_bpe_50k"
@@ -92,6 +92,34 @@ def p5_days_combined(spark: SparkSession, d: str) -> DataFrame:
     return quantiles.percentiles(total, [0.5])
 
 
+def caption_values(spark: SparkSession, d: str) -> DataFrame:
+    """(id, field, source, shard, provider, text): both caption fields, identical copies of a record counting once."""
+    rows = table(spark, d, "clip_captions").select("caption_id", "shard", "provider", "caption", "caption_visual").distinct()
+    fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in ("caption", "caption_visual")])
+    values = rows.select(F.col("caption_id").alias("id"), "shard", "provider", F.inline(fields)).where("text is not null and trim(text) <> ''")
+    return write_table(values.withColumn("source", F.concat_ws("/", "provider", "field")), "caption-values")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    found, _ = truncation.find_truncated(caption_values(spark, d).select("id", "field", "source", "text"))
+    return found.where("cut").select(F.col("id").alias("caption_id"), F.col("field").alias("field_name")).distinct()
+
+
+def p4_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Values, cut values and their share of each shard, provider and field."""
+    values = caption_values(spark, d)
+    found, _ = truncation.find_truncated(values.select("id", "field", "source", "text"))
+    known = values.select("id", "field", "shard", "provider").distinct()
+    by = known.join(found.select("id", "field", "cut").distinct(), ["id", "field"]).groupBy("shard", "provider", F.col("field").alias("field_name"))
+    return by.agg(F.count(F.lit(1)).alias("n_values"), F.count_if("cut").alias("n_cut"), (F.count_if("cut") / F.count(F.lit(1))).alias("share"))
+
+
+def p4_limits(spark: SparkSession, d: str) -> DataFrame:
+    """Lengths at which a source's values end far more often than at the lengths around them."""
+    _, lengths = truncation.find_truncated(caption_values(spark, d).select("id", "field", "source", "text"))
+    return lengths.where("significant").select("source", "script", "unit", "length", "events", "at_risk", "expected", "p")
+
+
 def _budgets(spark: SparkSession, d: str) -> list:
     return table(spark, d, "pack_budgets").distinct().orderBy("budget_id").collect()  # configuration
 
@@ -121,6 +149,9 @@ def p7_usage(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p4_found": p4_found,
+    "p4_rates": p4_rates,
+    "p4_limits": p4_limits,
     "p7_packed": p7_packed,
     "p7_usage": p7_usage,
     "p2_found": p2_found,
