@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cliploom.llm import clips, cutoffs, packing, quantiles, rank_fusion, tokens, truncation
+from cliploom.llm import abuse, clips, cutoffs, packing, quantiles, rank_fusion, tokens, truncation
 from cliploom.session import table, write_table
 
 TOKENIZER = "byte_bpe_50k"
@@ -148,7 +148,29 @@ def p7_usage(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def scored_documents(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "source", "text")
+    return abuse.score_documents(docs, table(spark, d, "content_labels")).select("doc_id", "source", "score", "abusive")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return scored_documents(spark, d).where("abusive").select("doc_id")
+
+
+def p8_scores(spark: SparkSession, d: str) -> DataFrame:
+    return scored_documents(spark, d)
+
+
+def p8_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Documents, flagged documents and their share of each source."""
+    by = scored_documents(spark, d).groupBy("source")
+    return by.agg(F.count(F.lit(1)).alias("n_documents"), F.count_if("abusive").alias("n_abusive"), (F.count_if("abusive") / F.count(F.lit(1))).alias("rate"))
+
+
 QUERIES = {
+    "p8_found": p8_found,
+    "p8_scores": p8_scores,
+    "p8_rates": p8_rates,
     "p4_found": p4_found,
     "p4_rates": p4_rates,
     "p4_limits": p4_limits,
