@@ -116,7 +116,6 @@ def names(node: Node) -> set[str]:
 
 #: A compiled part: its value as a double, and whether evaluating it fails.
 Pair = tuple[Column, Column]
-_NEVER = F.lit(False)
 
 
 def truthy(value: Column) -> Column:
@@ -145,7 +144,7 @@ def _compile(node: Node, look: Callable[[str], Column | None]) -> Pair:
     """``look`` gives a name's column, null where the row lacks it, or None where no row can have it."""
     match node:
         case Number(value):
-            return F.lit(value), _NEVER
+            return F.lit(value), F.lit(False)
         case Name(name):
             c = look(name)
             if c is None:
