@@ -26,7 +26,7 @@ def parse_generic(body: Column, field: str | None = None) -> Column:
     picked = F.coalesce(*[F.try_variant_get(value, f"$['{n}']" if not n.isidentifier() else f"$.{n}", "string") for n in names])
     keys = F.json_object_keys(plain)
     scalars = F.filter(
-        F.transform(keys, lambda k: F.get_json_object(plain, F.concat(F.lit("$['"), k, F.lit("']"))) if False else F.element_at(F.from_json(plain, "map<string,string>"), k)),
+        F.transform(keys, lambda k: F.element_at(F.from_json(plain, "map<string,string>"), k)),
         lambda v: v.isNotNull() & ~F.substring(v, 1, 1).isin("{", "["),
     )
     of_object = F.coalesce(picked, F.get(scalars, F.lit(0)))

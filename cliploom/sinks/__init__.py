@@ -1,0 +1 @@
+"""Sinks: metadata as JSON lines, tables, run logs."""

@@ -1,0 +1 @@
+"""Sources: file listings, manifests, metadata, shard lists, states."""
