@@ -168,7 +168,7 @@ def snapshot_rates(spark: SparkSession, d: str) -> DataFrame:
     """Videos done a minute between consecutive saves of a shard."""
     saves = table(spark, d, "shard_state").select("shard", "save_seq", F.unix_micros(F.to_timestamp("saved_at")).alias("us"), F.col("progress.videos_done").alias("done")).where("done is not null").distinct()
     got = progress.rates(saves.withColumn("at", F.col("us") / 1e6), "at", "done")
-    return got.select("shard", "done", F.round("per_minute", 4).alias("per_minute"))
+    return got.select("shard", "done", (F.round("per_minute", 4) + F.lit(0.0)).alias("per_minute"))
 
 
 def status_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -242,7 +242,7 @@ def parse_chat_completion(spark: SparkSession, d: str) -> DataFrame:
 
 def parse_generic_response(spark: SparkSession, d: str) -> DataFrame:
     """Captions as objects, strings and plain text."""
-    caps = table(spark, d, "clip_captions").select("caption_id", "caption").where("caption is not null and caption not like '%\"%' and caption not like '%`%' and caption not like '%\\\\\\\\%'").distinct()
+    caps = table(spark, d, "clip_captions").select("caption_id", "caption").where(~F.col("caption").rlike(r'["`\\\n]')).distinct()
     k = F.col("caption_id") % 4
     one = lambda name: F.to_json(F.create_map(F.lit("id"), F.lit("7"), F.lit(name), F.col("caption")))
     body = F.when(k == 0, one("result")).when(k == 1, one("text")).when(k == 2, F.concat(F.lit('"'), F.col("caption"), F.lit('"'))).otherwise(F.concat(F.lit("  ~"), F.col("caption")))
@@ -357,7 +357,7 @@ ORACLE = {
     "intersect_scored": f"SELECT shard FROM clip_results INTERSECT SELECT shard FROM {_ST} WHERE scored",
     "except_uploaded": f"SELECT shard FROM {_ST} EXCEPT SELECT shard FROM {_ST} WHERE uploaded",
     "missing_top20": f"SELECT shard FROM (SELECT shard FROM {_ST} EXCEPT SELECT shard FROM run_ledger) ORDER BY shard LIMIT 20",
-    "snapshot_rates": """SELECT shard, done, round(CASE WHEN secs - p > 0 THEN (done - q) * 60.0 / (secs - p) END, 4) AS per_minute FROM (SELECT *, lag(secs) OVER w AS p, lag(done) OVER w AS q FROM (
+    "snapshot_rates": """SELECT shard, done, round(CASE WHEN secs - p > 0 THEN (done - q) * 60.0 / (secs - p) END, 4) + 0.0 AS per_minute FROM (SELECT *, lag(secs) OVER w AS p, lag(done) OVER w AS q FROM (
   SELECT DISTINCT shard, save_seq, epoch_us(saved_at) / 1e6 AS secs, progress.videos_done AS done FROM shard_state WHERE progress.videos_done IS NOT NULL) WINDOW w AS (PARTITION BY shard ORDER BY secs))""",
     "status_lines": f"""SELECT concat_ws('; ', concat_ws(' ', shard, stage), CASE WHEN progress.videos_total > 0 THEN 'videos ' || progress.videos_done || '/' || progress.videos_total END,
   CASE WHEN progress.queue_pending > 0 THEN 'queue ' || progress.queue_pending END, progress.last_video, 'age ' || CASE WHEN s < 60 THEN CAST(floor(s) AS INTEGER) || 's' WHEN s < 3600 THEN CAST(floor(s / 60) AS INTEGER) || 'm' ELSE printf('%.1fh', s / 3600) END) AS line
