@@ -1,0 +1,242 @@
+"""Plug-in interfaces for what the relational core can't do: decoding, models, text recognition, network, transcoding.
+
+A scorer, splitter or caption provider is registered under its kind. It runs in ``mapInPandas``: created once in each
+Python worker, fed batches, and a failing item gives a null instead of ending the task.
+"""
+
+from __future__ import annotations
+
+import os
+import shutil
+import tarfile
+import zipfile
+from collections.abc import Callable, Iterator, Sequence
+from pathlib import PurePosixPath
+from typing import Any, Protocol
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+class Scorer(Protocol):
+    """Scores a batch of records (video_path, text, meta); as many numbers as records, None for a failure."""
+
+    def score(self, records: pd.DataFrame) -> Sequence[float | None]: ...
+
+
+class CaptionProvider(Protocol):
+    """Captions a batch of paths with a prompt each; raises for a failing item."""
+
+    def caption(self, path: str, prompt: str, frames: Sequence[bytes]) -> str: ...
+
+
+ScorerFactory = Callable[[dict[str, Any]], Scorer]
+_columns: dict[str, Callable[[dict[str, Any]], Column]] = {}
+_scorers: dict[str, ScorerFactory] = {}
+_captions: dict[str, Callable[[dict[str, Any]], CaptionProvider]] = {}
+_splitters: dict[str, Callable[..., DataFrame]] = {}
+
+
+def register_scorer(kind: str, factory: ScorerFactory) -> None:
+    _scorers[kind] = factory
+
+
+def register_column_scorer(kind: str, make: Callable[[dict[str, Any]], Column]) -> None:
+    """A scorer that is a Column expression and needs no Python worker."""
+    _columns[kind] = make
+
+
+def register_caption_provider(name: str, factory: Callable[[dict[str, Any]], CaptionProvider]) -> None:
+    _captions[name] = factory
+
+
+def register_splitter(kind: str, split: Callable[..., DataFrame]) -> None:
+    _splitters[kind] = split
+
+
+def _unsupported(_: dict[str, Any]) -> Column:
+    raise NotImplementedError("this consistency scorer needs a model that isn't available")
+
+
+# Kinds that need no model. The stubs stand for checks still to be made.
+for _kind in ("dummy", "clip_consistency_stub", "egovideo_consistency_stub"):
+    register_column_scorer(_kind, lambda options: F.lit(1.0))
+for _kind in ("clip_text_consistency", "egovideo_text_consistency"):
+    register_column_scorer(_kind, _unsupported)
+
+
+def splitter(kind: str) -> Callable[..., DataFrame] | None:
+    """The registered splitter; an unknown kind falls back to the content detector, if that is registered."""
+    return _splitters.get(kind) or _splitters.get("pyscenedetect")
+
+
+def caption_provider(name: str, options: dict[str, Any]) -> CaptionProvider:
+    if name not in _captions:
+        raise ValueError(f"unsupported caption provider {name}; supported: {', '.join(sorted(_captions))}")
+    return _captions[name](options)
+
+
+def supported_kinds() -> list[str]:
+    return sorted({*_columns, *_scorers})
+
+
+def check_kinds(kinds: Sequence[str]) -> None:
+    for k in kinds:
+        if k not in _columns and k not in _scorers:
+            raise ValueError(f"unsupported model kind {k}; supported: {', '.join(supported_kinds())}")
+
+
+def _score_batches(factory: ScorerFactory, options: dict[str, Any]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer: Scorer | None = None
+        for batch in batches:
+            values: list[float | None]
+            if scorer is None:
+                scorer = factory(options)  # once a worker, when the first batch comes
+            try:
+                values = list(scorer.score(batch))
+                if len(values) != len(batch):
+                    raise ValueError(f"{len(values)} scores for {len(batch)} records")
+            except Exception:
+                values = []
+                for i in range(len(batch)):
+                    try:
+                        values.append(list(scorer.score(batch.iloc[[i]]))[0])
+                    except Exception:
+                        values.append(None)  # becomes a scoring error of this record alone
+            yield batch.assign(score=pd.Series(values, index=batch.index, dtype="float64"))
+
+    return run
+
+
+def score(records: DataFrame, models: Sequence[tuple[str, str, dict[str, Any]]]) -> DataFrame:
+    """``records`` (video_path, text, meta, ...) with ``scores``, a map by model name; models are (name, kind, options).
+
+    Filter before this call: a Python step is not skipped for rows that a later filter drops.
+    """
+    check_kinds([kind for _, kind, _ in models])
+    out, names = records, list(dict.fromkeys(name for name, _, _ in models))
+    last = {name: (kind, options) for name, kind, options in models}
+    for name in names:
+        kind, options = last[name]
+        if kind in _columns:
+            out = out.withColumn(f"__s_{name}", _columns[kind](options))
+        else:
+            schema = T.StructType([*out.schema.fields, T.StructField("score", T.DoubleType())])
+            out = out.mapInPandas(_score_batches(_scorers[kind], options), schema).withColumnRenamed("score", f"__s_{name}")
+    pairs = [x for name in names for x in (F.lit(name), F.col(f"`__s_{name}`").cast("double"))]
+    scores = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,double>")
+    return out.withColumn("scores", scores).drop(*[f"__s_{name}" for name in names])
+
+
+def _caption_batches(factory: Callable[[dict[str, Any]], CaptionProvider], options: dict[str, Any], retry: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import time
+
+        provider = None
+        for batch in batches:
+            provider = provider or factory(options)  # once a worker; the registry lives on the driver
+            done, errors = [], []
+            for r in batch.itertuples():
+                said, error = None, None
+                for attempt in range(retry + 1):
+                    try:
+                        said, error = provider.caption(r.path, r.prompt, list(getattr(r, "frames", None) or [])), None
+                        break
+                    except Exception as e:
+                        error = str(e) or type(e).__name__
+                        if attempt < retry:
+                            time.sleep(float(options.get("wait", 1.0)))
+                done.append(said)
+                errors.append(error)
+            yield batch[["path"]].assign(response=done, error=errors)
+
+    return run
+
+
+def caption(clips: DataFrame, provider: str, options: dict[str, Any], retry: int = 1) -> DataFrame:
+    """(path, response, error) of each clip (path, prompt, frames?), with ``retry`` further attempts."""
+    if provider not in _captions:
+        raise ValueError(f"unsupported caption provider {provider}; supported: {', '.join(sorted(_captions))}")
+    return clips.mapInPandas(_caption_batches(_captions[provider], options, retry), "path string, response string, error string")
+
+
+# File work, one call per file, made to be repeated safely
+
+
+def within(root: str, member: str) -> bool:
+    """Whether an archive member stays inside the folder, by path components."""
+    p = PurePosixPath(member)
+    if p.is_absolute():
+        return False
+    depth = 0
+    for part in p.parts:
+        depth += -1 if part == ".." else 0 if part == "." else 1
+        if depth < 0:
+            return False
+    return True
+
+
+def extract(archive: str, folder: str) -> bool:
+    """Extract an archive unless its success marker exists; True if it was done now."""
+    marker = os.path.join(folder, "_EXTRACTED")
+    if os.path.exists(marker):
+        return False
+    shutil.rmtree(folder, ignore_errors=True)
+    os.makedirs(folder)
+    if archive.endswith(".zip"):
+        with zipfile.ZipFile(archive) as z:
+            if bad := [n for n in z.namelist() if not within(folder, n)]:
+                raise ValueError(f"member leaves the folder: {bad[0]}")
+            z.extractall(folder)
+    elif archive.endswith((".tar", ".gz", ".tgz", ".bz2")):
+        with tarfile.open(archive) as t:
+            if bad := [m.name for m in t.getmembers() if not within(folder, m.name)]:
+                raise ValueError(f"member leaves the folder: {bad[0]}")
+            t.extractall(folder, filter="data")
+    else:
+        shutil.unpack_archive(archive, folder)
+    open(marker, "w").close()
+    return True
+
+
+def link_or_copy(source: str, target: str, copy: bool = False) -> bool:
+    """Put a file at the target as a hard link, or as a copy where links fail or are not wanted; an existing one stays."""
+    if os.path.exists(target):
+        return False
+    os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
+    work = f"{target}.part"
+    if os.path.exists(work):
+        os.remove(work)
+    if not copy:
+        try:
+            os.link(source, work)
+        except OSError:
+            copy = True
+    if copy:
+        shutil.copy2(source, work)
+    os.replace(work, target)
+    return True
+
+
+def materialize(rows: DataFrame, source: str, target: str, copy: bool = False) -> None:
+    """Link or copy the files of rows to their targets on the executors; repeated tasks do no harm."""
+
+    def run(part: Iterator) -> None:
+        for r in part:
+            if r[source] and r[target] and os.path.exists(r[source]):
+                link_or_copy(r[source], r[target], copy)
+
+    rows.select(source, target).foreachPartition(run)
+
+
+def cut_command(video: str, start: float, end: float, target: str) -> list[str]:
+    """Command that copies a scene out of a video."""
+    return ["ffmpeg", "-y", "-ss", f"{start:.3f}", "-i", video, "-t", f"{max(end - start, 0.001):.3f}", "-c", "copy", target]
+
+
+def scale_command(video: str, target: str, height: int = 720) -> list[str]:
+    """Command that transcodes a video to a height."""
+    return ["ffmpeg", "-y", "-i", video, "-vf", f"scale=-2:{height}", "-c:a", "copy", target]
