@@ -19,7 +19,10 @@ LISTING = T.StructType([T.StructField("path", T.StringType()), T.StructField("le
 
 
 def listing(spark: SparkSession, roots: Iterable[str], recursive: bool = True) -> DataFrame:
-    """(path, length, modificationTime) of the files under local or shared folders; missing roots warn and are skipped."""
+    """(path, length, modificationTime) of the files under local or shared folders; missing roots warn and are skipped.
+
+    Files without any content are not listed, as the file source plans no read for them.
+    """
     good = []
     for r in roots:
         if "://" in r or os.path.isdir(r):
