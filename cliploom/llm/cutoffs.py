@@ -125,10 +125,13 @@ def target_leaves(tree: DataFrame, targets: DataFrame) -> DataFrame:
     """
     by_source = Window.partitionBy("source", "name")
     upto = F.sum("n").over(by_source.orderBy(F.desc("page")).rowsBetween(Window.unboundedPreceding, 0))
-    pages = tree.select("source", "name", "page", "n", "nodes", upto.alias("upto"), F.sum("n").over(by_source).alias("total"))
+    # Pages are chosen by their counts alone; node arrays aren't shuffled for it.
+    pages = tree.select("source", "name", "page", "n", upto.alias("upto"), F.sum("n").over(by_source).alias("total"))
     asked = pages.join(targets.select("name", "keep_fraction"), "name")
     asked = asked.withColumn("target", F.greatest(F.lit(1).cast("bigint"), F.least("total", F.ceil(F.col("keep_fraction") * F.col("total")).cast("bigint"))))
-    page = asked.where("keep_fraction > 0 and target <= upto and target > upto - n").withColumn("left", F.expr("target - (upto - n)"))
+    chosen = asked.where("keep_fraction > 0 and target <= upto and target > upto - n").withColumn("left", F.expr("target - (upto - n)"))
+    chosen = write_table(chosen.select("source", "name", "page", "total", "target", "left"), "target-pages")
+    page = tree.select("source", "name", "page", "nodes").join(_near(chosen), ["source", "name", "page"])
     found = page.withColumn("at", _descend("nodes", "left"))
     return found.select(
         "source", "name", F.col("total").alias("n"), "target", (F.col("target") - F.col("at.rank")).alias("above"),
