@@ -10,7 +10,7 @@ chosen with Benjamini-Hochberg control of the false-discovery rate within each s
 *Endings.* What is put after a text (tags, quotes, closing wrappers, emoji, an ellipsis) is set aside. An ending without
 a final stop is then compared with the whole corpus: how often do its last words, after the same first word of the
 sentence, end a sentence there? Counts come from all texts. An ending that never ends a sentence, a last word that only
-occurs as the beginning of other words, a dangling connective or comma mark a cut.
+occurs as the beginning of other words, a dangling comma, or a connective that isn't known to end sentences mark a cut.
 
 At a significant length every incomplete ending is flagged, that is one without stop and without a whole tag after it;
 at other lengths the ending's own evidence has to show the cut. Of two fields of a record with the same text both are
@@ -306,7 +306,8 @@ def endings(values: DataFrame) -> DataFrame:
     keyed = read.withColumn("tail", F.when(~F.col("ended") & (F.size("contexts") > 0), F.xxhash64("contexts")))
     joined = join_unique(keyed, facts, "tail").drop("tail", "contexts")
     whole = F.col("ended") | F.coalesce("label", F.lit(False))
-    cut = ~whole & (F.col("broken") | F.col("dangling") | F.coalesce("verdict", F.lit(False)))
+    # A connective that the corpus knows to end sentences ("passes behind") is no sign of a cut.
+    cut = ~whole & (F.col("broken") | F.coalesce("verdict", F.col("dangling")))
     return joined.withColumn("cut_by_ending", cut).withColumn("open", ~whole)
 
 
