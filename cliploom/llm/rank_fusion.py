@@ -28,7 +28,7 @@ from cliploom.session import write_table
 
 #: Rows an interval should hold, and the bounds of the number of intervals. Cut points and counts, all that reaches the
 #: driver, are at most 2 * MAX_INTERVALS + 1 numbers a score.
-ROWS_PER_INTERVAL, MIN_INTERVALS, MAX_INTERVALS = 100_000, 16, 8192
+ROWS_PER_INTERVAL, MIN_INTERVALS, MAX_INTERVALS = 100_000, 16, 32_768
 
 
 def cut_points(rows: DataFrame, names: list[str], prefix: str) -> tuple[dict[str, np.ndarray], int]:
@@ -36,7 +36,7 @@ def cut_points(rows: DataFrame, names: list[str], prefix: str) -> tuple[dict[str
     n = rows.count()
     intervals = int(min(MAX_INTERVALS, max(MIN_INTERVALS, -(-n // ROWS_PER_INTERVAL))))
     probabilities = F.array(*[F.lit(i / intervals) for i in range(1, intervals)])
-    found = rows.agg(*[F.percentile_approx(f"`{prefix}{c}`", probabilities, 20 * intervals).alias(f"q{i}") for i, c in enumerate(names)]).first()
+    found = rows.agg(*[F.percentile_approx(f"`{prefix}{c}`", probabilities, max(1000, 5 * intervals)).alias(f"q{i}") for i, c in enumerate(names)]).first()
     return {c: np.unique(np.array(found[f"q{i}"] or [], dtype=np.float64)) for i, c in enumerate(names)}, n
 
 
@@ -53,7 +53,7 @@ def _interval(cuts: np.ndarray):
 
 
 def ranks(rows: DataFrame, id_column: str, names: list[str], prefix: str = "s_") -> DataFrame:
-    """(id, rank_0, rank_1, ...): exact mean-of-ties ranks of ``<prefix><name>`` columns, greater values first."""
+    """(id, complete, rank_0, rank_1, ...): exact mean-of-ties ranks of ``<prefix><name>`` columns, greater values first."""
     cuts, total = cut_points(rows, names, prefix)
     coded = rows.select(F.col(id_column).alias("id"), *[F.col(f"`{prefix}{c}`").alias(f"v{i}") for i, c in enumerate(names)])
     coded = write_table(coded.select("*", *[_interval(cuts[c])(f"v{i}").alias(f"c{i}") for i, c in enumerate(names)]), "coded-scores")
@@ -71,12 +71,12 @@ def ranks(rows: DataFrame, id_column: str, names: list[str], prefix: str = "s_")
     long = long.join(F.broadcast(stats), ["score", "code"])  # at most 2 * MAX_INTERVALS + 2 rows a score
 
     shared = (F.col("code") < 0) | (F.col("code") % 2 == 1)
-    same = long.where(shared).select("id", "score", (F.col("above") + (F.col("n") + 1) / 2).alias("rank"))
+    same = long.where(shared).select("id", "score", (F.col("code") >= 0).alias("given"), (F.col("above") + (F.col("n") + 1) / 2).alias("rank"))
     w = Window.partitionBy("score", "code").orderBy(F.desc("value"))
     first, last = F.rank().over(w), F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     inside = long.where(~shared).select("id", "score", "above", first.alias("first"), last.alias("last"))
-    every = inside.select("id", "score", (F.col("above") + (F.col("first") + F.col("last")) / 2).alias("rank")).unionAll(same)
-    return every.groupBy("id").agg(*[F.sum(F.when(F.col("score") == i, F.col("rank"))).alias(f"rank_{i}") for i in range(len(names))])
+    every = inside.select("id", "score", F.lit(True).alias("given"), (F.col("above") + (F.col("first") + F.col("last")) / 2).alias("rank")).unionAll(same)
+    return every.groupBy("id").agg(F.bool_and("given").alias("complete"), *[F.sum(F.when(F.col("score") == i, F.col("rank"))).alias(f"rank_{i}") for i in range(len(names))])
 
 
 def weighted_median(values: list[Column], weights: list[float]) -> Column:
@@ -98,7 +98,7 @@ def weighted_median(values: list[Column], weights: list[float]) -> Column:
 def fuse(rows: DataFrame, id_column: str, weights: Mapping[str, float], prefix: str = "s_") -> DataFrame:
     """(id, complete, median_rank, mean_rank, rank_<name>...) of each row of ``rows``.
 
-    The ranking is the order by (not complete, median_rank, mean_rank, id). ``rows`` is read three times and should be a
+    The ranking is the order by (not complete, median_rank, mean_rank, id). ``rows`` is read twice and should be a
     written table. Weights are positive; equal weights make each score count alike.
     """
     names = list(weights)
@@ -109,9 +109,7 @@ def fuse(rows: DataFrame, id_column: str, weights: Mapping[str, float], prefix:
     each = [F.col(f"rank_{i}") for i in range(len(names))]
     total = float(sum(weights.values()))
     mean = sum((r * float(w) for r, w in zip(each[1:], list(weights.values())[1:])), each[0] * float(weights[names[0]])) / total
-    ranked = found.select(F.col("id").alias(id_column), weighted_median(each, list(weights.values())).alias("median_rank"), mean.alias("mean_rank"), *[r.alias(f"rank_{c}") for r, c in zip(each, names)])
-    flag = rows.select(id_column, F.expr(" and ".join(f"`{prefix}{c}` is not null" for c in names)).alias("complete"))
-    return ranked.join(flag, id_column)
+    return found.select(F.col("id").alias(id_column), "complete", weighted_median(each, list(weights.values())).alias("median_rank"), mean.alias("mean_rank"), *[r.alias(f"rank_{c}") for r, c in zip(each, names)])
 
 
 def best_of(ranking: DataFrame, id_column: str, groups: DataFrame, group_column: str) -> DataFrame:
