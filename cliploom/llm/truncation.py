@@ -49,6 +49,8 @@ DANGLING = frozenset(
     "weil dass sein ihre".split()
 )
 STOPS = ".!?。！？"
+#: Characters at a text's end in which something put after it is looked for; each such thing is shorter.
+REACH = 64
 
 CONTEXTS = ("head2", "head1", "last3", "last2", "last1", "prefix")
 ENDING = T.StructType([
@@ -73,6 +75,7 @@ class Reader:
         )
         self.open = regex.compile(r"(?:\s[(\[][^()\[\]]{0,40}|\s[@#][\w ]{0,8}|\s[-–—]\s?\p{L}{0,12})$")
         self.close = regex.compile(r"[\s\"”»」』}`]+$")
+        self.marks = regex.compile(r"[#\[(@–—“-]|\d[pi]$")
         self.ellipsis = regex.compile(r"(?:\.{2,}|…+)$")
         self.token = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}]|[^\W_](?:[^\W_]|['’-](?=[^\W_]))*|[.!?。！？\n]")
         self.hashes: dict[str, int] = {}
@@ -90,8 +93,10 @@ class Reader:
     def core(self, text: str) -> tuple[str, bool, bool]:
         """(text without what was put after it, something whole was, an ellipsis was)."""
         t, tagged, cut = text.rstrip(), False, False
+        if t and t[-1].isalnum() and not self.marks.search(t, max(0, len(t) - REACH)):
+            return t, False, False  # nothing was put after it
         while t:
-            if m := self.after.search(t):  # before closing marks, as a tag may be quoted itself
+            if m := self.after.search(t, max(0, len(t) - REACH)):  # before closing marks, as a tag may be quoted itself
                 u, tagged = t[: m.start()].rstrip(), True
             else:
                 u = self.close.sub("", t)
@@ -120,7 +125,7 @@ class Reader:
         ended = core[-1] in STOPS and not cut
         if ended:
             return True, tagged, False, False, []
-        half = bool(self.open.search(core))
+        half = bool(self.open.search(core, max(0, len(core) - REACH)))
         broken = core[-1] in ",，、;；:：-–—'’�" or half
         tail = self.sentence(core)
         if not tail:
@@ -181,39 +186,29 @@ def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     r = reader()
     with np.errstate(over="ignore"):
         for batch in batches:
-            words: dict[str, int] = {}
+            words: dict[str, int] = {x: i for i, x in enumerate([*STOPS, "\n"])}
+            n_stops = len(words)
             ids: list[int] = []
-            heads: list[int] = []
-            places: list[int] = []
-            ends: list[bool] = []
+            starts: list[int] = []
             for text in batch.column(0).to_pylist():
-                core, _, cut = r.core(text)
-                tokens = r.token.findall(core.lower())
-                head, place = 0, 0
-                for x in tokens:
-                    if x in STOPS or x == "\n":
-                        if place:
-                            ends[-1] = True
-                        place = 0
-                        continue
-                    i = words.setdefault(x, len(words))
-                    if not place:
-                        head = i
-                    ids.append(i), heads.append(head), places.append(place), ends.append(False)
-                    place += 1
-                if place:  # nothing follows the last token, so it says nothing
-                    places[-1] = -1
-            if not ids:
-                continue
-            table = np.array([r.hash(w) for w in words], dtype=np.uint64)
+                starts.append(len(ids))
+                ids += [words.setdefault(x, len(words)) for x in r.token.findall(r.core(text)[0].lower())]
+                ids.append(-1)  # the end of a text without a stop says nothing
             w = np.array(ids)
-            place = np.array(places)
-            size = np.where(place < 0, 3, place)
-            c, head, end = table[w], table[np.array(heads)], np.array(ends)
-            b = np.where(size >= 1, np.roll(c, 1), np.uint64(0))
-            a = np.where(size >= 2, np.roll(c, 2), np.uint64(0))
-            keep = place >= 0
-            a, b, c, head, end = a[keep], b[keep], c[keep], head[keep], end[keep]
+            breaks = w < n_stops
+            if breaks.all():
+                continue
+            table = np.array([r.hash(x) for x in words], dtype=np.uint64)
+            at = np.arange(len(w))
+            # First token of each token's sentence, and its place there.
+            begin = np.maximum.accumulate(np.where(breaks, at + 1, 0))
+            begin = np.maximum(begin, np.repeat(np.array(starts), np.diff([*starts, len(w)])))
+            keep = ~breaks & (w[np.minimum(at + 1, len(w) - 1)] != -1)
+            place, head = (at - begin)[keep], w[begin[keep]]
+            end = (w[np.minimum(at + 1, len(w) - 1)] < n_stops)[keep]
+            code = table[np.maximum(w, 0)]
+            c, b, a = code[keep], code[np.maximum(at - 1, 0)][keep], code[np.maximum(at - 2, 0)][keep]
+            b, a, head = np.where(place >= 1, b, np.uint64(0)), np.where(place >= 2, a, np.uint64(0)), table[head]
             keys = np.concatenate([_mix_arrays(1, head, b, c), _mix_arrays(2, head, c), _mix_arrays(3, a, b, c), _mix_arrays(4, b, c), _mix_arrays(5, c)])
             seen = np.ones(len(keys), dtype=np.int64)
             ended = np.tile(end, 5).astype(np.int64)
