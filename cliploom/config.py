@@ -191,3 +191,9 @@ def load(path: str, **overrides: Any) -> Config:
         raw = yaml.safe_load(f) or {}
     raw |= {k: v for k, v in overrides.items() if v is not None}
     return from_dict(raw, os.path.dirname(os.path.abspath(path)))
+
+
+def env_flag(name: str, default: bool = False) -> bool:
+    """An environment switch: unset is the default, empty and the usual words of denial are false."""
+    value = os.environ.get(name)
+    return default if value is None else value.strip().lower() not in {"", "0", "false", "no", "off"}

@@ -111,3 +111,47 @@ def run_counts(runs: DataFrame) -> DataFrame:
     """Distinct runs by status with their time; copies of a row count once."""
     once = runs.select("run_id", "status", "duration_sec").distinct()
     return once.groupBy("status").agg(F.count(F.lit(1)).alias("runs"), F.sum("duration_sec").alias("seconds"))
+
+
+#: Stages of a shard in their order.
+STAGES = ("pending", "prefetched", "downloading", "extracting", "processing", "materializing", "uploading", "uploaded", "processed")
+
+
+def summary_totals(states: DataFrame, summaries: DataFrame) -> DataFrame:
+    """Scored shards with a summary, their mean time and clips in total; shards without one are left out."""
+    joined = states.where("scored").select("shard").join(summaries, "shard")
+    return joined.agg(F.count(F.lit(1)).alias("summarised"), F.avg("time_total").alias("avg_time"), F.sum("clips_scored").alias("clips"))
+
+
+def next_action(skip_upload: bool = False, calibrating: bool = False) -> Column:
+    """What a run has to do for a shard: skip, download, extract, process or upload."""
+    is_set = lambda c: F.coalesce(c, F.lit(False))
+    return (
+        F.when(is_set("uploaded") & F.lit(not skip_upload and not calibrating), "skip")
+        .when(~is_set("downloaded"), "download")
+        .when(~is_set("extracted"), "extract")
+        .when(~is_set("scored") | F.lit(calibrating), "process")
+        .when(F.lit(skip_upload), "skip")
+        .otherwise("upload")
+    )
+
+
+def stage_timings(rows: DataFrame, timings: list[str], by: list[str]) -> DataFrame:
+    """Sum of each stage's seconds."""
+    return rows.groupBy(*by).agg(*[F.sum(t).alias(t) for t in timings])
+
+
+def gpu_samples(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(index, utilization, memory_used, memory_total, temperature) of sampled CSV lines; bad ones are left out."""
+    fields = ("index", "utilization", "memory_used", "memory_total", "temperature")
+    parts = F.split(F.col(column), ",")
+    cells = [F.regexp_replace(F.get(parts, F.lit(i)), r"[^0-9.+-]", "").try_cast("double") for i in range(5)]
+    got = lines.where(F.size(parts) == 5).select(*[c.alias(n) for c, n in zip(cells, fields)])
+    return got.dropna().withColumn("index", F.col("index").cast("int"))
+
+
+def pinned_checks(pinned: DataFrame, heads: DataFrame) -> DataFrame:
+    """(name, ok, detail): whether each component with a pinned commit is at it; absent ones fail."""
+    joined = pinned.select("name", F.col("commit").alias("want")).join(heads.select("name", F.col("commit").alias("have")), "name", "left")
+    ok = F.col("want").isNull() | F.coalesce(F.startswith("have", "want"), F.lit(False))
+    return joined.select("name", ok.alias("ok"), F.when(ok, F.coalesce("have", F.lit("not pinned"))).otherwise(F.concat(F.lit("expected "), "want", F.lit(", found "), F.coalesce("have", F.lit("nothing")))).alias("detail"))

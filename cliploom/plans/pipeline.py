@@ -207,6 +207,27 @@ def failed_workers(spark: SparkSession, d: str) -> DataFrame:
     return partition.failed(table(spark, d, "run_log").select(F.when(F.col("status") == "success", 0).otherwise(1).alias("code")))
 
 
+def _summaries(spark: SparkSession, d: str) -> DataFrame:
+    """Clips as a stand-in for shard summaries: seconds of video as time."""
+    rows = table(spark, d, "clip_results").where("shard is not null")
+    return rows.groupBy("shard").agg(F.count(F.lit(1)).alias("clips_scored"), F.sum("total_frames").cast("double").alias("time_total"))
+
+
+def summary_totals(spark: SparkSession, d: str) -> DataFrame:
+    got = progress.summary_totals(_states(spark, d), _summaries(spark, d))
+    return got.select("summarised", F.round("avg_time", 3).alias("avg_time"), "clips")
+
+
+def next_actions(spark: SparkSession, d: str) -> DataFrame:
+    return _states(spark, d).groupBy(progress.next_action().alias("action"), progress.next_action(skip_upload=True).alias("without_upload")).agg(F.count(F.lit(1)).alias("shards"))
+
+
+def stage_timings(spark: SparkSession, d: str) -> DataFrame:
+    """Frames and windows as stand-ins for seconds by stage."""
+    rows = table(spark, d, "clip_results").select("shard", F.col("total_frames").alias("time_scene"), F.col("num_windows").alias("time_score"))
+    return progress.stage_timings(rows, ["time_scene", "time_score"], ["shard"])
+
+
 # Partitioning
 
 
@@ -309,7 +330,7 @@ QUERIES = {
         sliding_windows, scene_windows, uniform_indices, frame_pairs, caption_frame_indices, polygon_area, text_area_ratio, fit_within,
         dedup_first, limit_after_dedup, resume_anti_join, extras_left_join, state_upsert, manifest_json_meta, flag_totals, stage_counts,
         oldest_active_topk, oldest_active_per_config, avg_shard_duration, config_progress, summary_rollup, intersect_scored, except_uploaded,
-        missing_top20, snapshot_rates, status_lines, age_format, upload_outcomes, upload_manifest_bytes, run_counts, checks_all_ok,
+        missing_top20, snapshot_rates, status_lines, age_format, upload_outcomes, upload_manifest_bytes, run_counts, checks_all_ok, summary_totals, next_actions, stage_timings,
         failed_workers, split_even, split_ntile, gpu_round_robin, parse_chat_completion, parse_generic_response, caption_fallback,
         caption_eligible, caption_errors, prompt_templates, url_normalise, placeholder_clean, output_names, meta_key_normalise, devices,
     )
@@ -369,6 +390,10 @@ ORACLE = {
     "run_counts": "SELECT status, count(*) AS runs, round(sum(duration_sec), 3) AS seconds FROM (SELECT DISTINCT run_id, status, duration_sec FROM run_log) GROUP BY status",
     "checks_all_ok": "SELECT bool_and(status <> 'failed') AS all_ok, count(*) FILTER (status <> 'failed') AS passed, count(*) AS total FROM run_log",
     "failed_workers": "SELECT count(*) FILTER (status <> 'success') AS failed FROM run_log",
+    "summary_totals": f"SELECT count(*) AS summarised, round(avg(t), 3) AS avg_time, CAST(sum(c) AS BIGINT) AS clips FROM {_ST} s JOIN (SELECT shard, count(*) AS c, CAST(sum(total_frames) AS DOUBLE) AS t FROM clip_results WHERE shard IS NOT NULL GROUP BY shard) r ON r.shard = s.shard WHERE scored",
+    "next_actions": f"""SELECT CASE WHEN u THEN 'skip' ELSE coalesce(a, 'upload') END AS action, coalesce(a, 'skip') AS without_upload, count(*) AS shards FROM (SELECT coalesce(uploaded, false) AS u,
+  CASE WHEN NOT coalesce(downloaded, false) THEN 'download' WHEN NOT coalesce(extracted, false) THEN 'extract' WHEN NOT coalesce(scored, false) THEN 'process' END AS a FROM {_ST}) GROUP BY ALL""",
+    "stage_timings": "SELECT shard, CAST(sum(total_frames) AS BIGINT) AS time_scene, CAST(sum(num_windows) AS BIGINT) AS time_score FROM clip_results GROUP BY shard",
     "split_even": "SELECT shard, CAST((row_number() OVER (ORDER BY shard) - 1) // CAST(ceil(count(*) OVER () / 7.0) AS BIGINT) AS INTEGER) AS chunk FROM (SELECT DISTINCT shard FROM shard_state)",
     "split_ntile": "SELECT shard, CAST(ntile(7) OVER (ORDER BY shard) - 1 AS INTEGER) AS chunk FROM (SELECT DISTINCT shard FROM shard_state)",
     "gpu_round_robin": "SELECT CAST(chunk % 3 AS INTEGER) AS gpu, count(*) AS shards FROM (SELECT (row_number() OVER (ORDER BY shard) - 1) // CAST(ceil(count(*) OVER () / 7.0) AS BIGINT) AS chunk FROM (SELECT DISTINCT shard FROM shard_state)) GROUP BY 1",

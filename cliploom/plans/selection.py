@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cliploom.functions import kernels
-from cliploom.operators import calibrate, frames, select
+from cliploom.operators import calibrate, frames, scenes, select
 from cliploom.session import table
 
 NAMES = ["dover", "dover_tech", "aes", "motion"]
@@ -179,13 +179,30 @@ def adaptive_cuts(spark: SparkSession, d: str) -> DataFrame:
     return frames.adaptive_cuts(ratios, 2.0, 5)
 
 
+def _videos(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("path").agg((F.max("frame_idx") + 1).alias("total_frames")).withColumn("fps", F.lit(25.0))
+
+
+def scene_spans_adaptive(spark: SparkSession, d: str) -> DataFrame:
+    rows = luma_frames(spark, d)
+    return scenes.scene_spans(rows, _videos(rows), "pyscenedetect", 2.0, 5, content="mean_luma")
+
+
+def scene_spans_differences(spark: SparkSession, d: str) -> DataFrame:
+    """Without boundary scores, spans come from normalised frame differences."""
+    rows = luma_frames(spark, d)
+    spans = scenes.scene_spans(rows, _videos(rows), "transnet", 0.6)
+    return spans.select("path", "span_idx", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         select_thresholds, select_strategy, strategy_chain_compare, strategy_missing_meta, no_scorers_keep_all, reason_histogram,
         recorded_reasons, invalid_scores, funnel_counts, flash_record_only, fused_score, branch_outputs, linear_head_score,
         flow_magnitude, calibration_quantiles, calibration_cap, calibration_wide, threshold_grid, top_thresholds, flash_filter,
-        text_area_any, frame_diff_normalised, boundary_spans, adaptive_ratio, adaptive_cuts,
+        text_area_any, frame_diff_normalised, boundary_spans, adaptive_ratio, adaptive_cuts, scene_spans_adaptive,
+        scene_spans_differences,
     )
 }
 
@@ -251,4 +268,8 @@ ORACLE = {
   SELECT path, row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS span_idx, round(coalesce(lag(pos) OVER (PARTITION BY path ORDER BY pos), 0) / 25.0, 6) AS start, round(pos / 25.0, 6) AS "end" FROM e""",
     "adaptive_ratio": f"""SELECT path, frame_idx, round(CASE WHEN m > 1e-5 THEN least(c / m, 255.0) WHEN c >= 15 THEN 255.0 ELSE 0.0 END, 6) AS ratio FROM (SELECT path, frame_idx, mean_luma AS c,
   CASE WHEN count(*) OVER w > 1 THEN (sum(mean_luma) OVER w - mean_luma) / (count(*) OVER w - 1) END AS m FROM ({_FR}) WINDOW w AS (PARTITION BY path ORDER BY frame_idx ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))""",
+    "scene_spans_differences": f"""WITH f AS ({_FR}), n AS (SELECT path, max(frame_idx) AS stop FROM f GROUP BY path),
+  r AS (SELECT path, frame_idx, coalesce(abs(mean_luma - lag(mean_luma) OVER w), 0.0) AS raw FROM f WINDOW w AS (PARTITION BY path, frame_idx // 1024 ORDER BY frame_idx)),
+  e AS (SELECT path, frame_idx AS pos FROM (SELECT *, raw / (max(raw) OVER (PARTITION BY path, frame_idx // 1024) + 1e-6) AS diff FROM r) WHERE diff >= 0.6 AND frame_idx > 0 UNION SELECT path, stop FROM n)
+  SELECT path, row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS span_idx, round(coalesce(lag(pos) OVER (PARTITION BY path ORDER BY pos), 0) / 25.0, 6) AS start, round(pos / 25.0, 6) AS "end" FROM e""",
 }

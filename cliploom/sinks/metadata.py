@@ -62,3 +62,17 @@ def write_run_log(path: str, status: str, counts: Mapping[str, int], **config: o
     with open(work, "w", encoding="utf-8") as f:
         json.dump({"status": status, "reason_counts": dict(counts), **config}, f, ensure_ascii=False, indent=2)
     os.replace(work, path)
+
+
+def pending_kinds(kinds: list[str], aliases: Mapping[str, str]) -> list[str]:
+    """Checks still to be made, by their usual names, each once in the order given."""
+    return list(dict.fromkeys(aliases.get(k, k) for k in kinds))
+
+
+def write_states(states: DataFrame, path: str) -> None:
+    """Current states as a table of one row per shard, replaced as a whole; the save history is kept elsewhere."""
+    states.write.mode("overwrite").parquet(path)
+
+
+def write_summaries(summaries: DataFrame, path: str) -> None:
+    summaries.write.mode("overwrite").option("ignoreNullFields", False).json(path)

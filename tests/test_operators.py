@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from cliploom import config, edge
 from cliploom.functions import kernels
-from cliploom.operators import calibrate, captions, frames, ordered, partition, records, select, skew, windows
+from cliploom.operators import calibrate, captions, frames, ordered, partition, progress, records, scenes, select, skew, windows
+from cliploom.sinks import metadata as sink
 from cliploom.streaming import ingest
 
 
@@ -245,3 +246,27 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     seen = []
     ingest.each_batch(new, lambda b, i: seen.extend(one(b)), str(tmp_path / "check2")).awaitTermination()
     assert sorted(seen, key=str) == sorted([(1, None), (1, ""), (2, "x")], key=str)
+
+
+def test_scene_spans_cover_the_video(spark):
+    rows = spark.createDataFrame([("v", i, 90.0 if i in (20, 60) else 1.0) for i in range(100)] + [("w", i, 1.0) for i in range(10)], "path string, frame_idx int, content double")
+    videos = spark.createDataFrame([("v", 10.0, 100), ("w", 10.0, 10)], "path string, fps double, total_frames int")
+    got = sorted(one(scenes.scene_spans(rows, videos, "anything", 3.0, 15)))
+    assert got == [("v", 0, 0.0, 2.0), ("v", 1, 2.0, 6.0), ("v", 2, 6.0, 10.0), ("w", 0, 0.0, 1.0)]
+
+
+def test_small_control_plane_parts(spark, monkeypatch):
+    lines = spark.createDataFrame([("0, 55 %, 100 MiB, 200 MiB, 60",), ("bad",), ("1, x, 1, 2, 3",)], "value string")
+    assert one(progress.gpu_samples(lines)) == [(0, 55.0, 100.0, 200.0, 60.0)]
+    pinned = spark.createDataFrame([("a", "abc"), ("b", "abc"), ("c", None), ("d", "x")], "name string, commit string")
+    heads = spark.createDataFrame([("a", "abcdef"), ("b", "xyz")], "name string, commit string")
+    assert {r.name: r.ok for r in progress.pinned_checks(pinned, heads).collect()} == {"a": True, "b": False, "c": True, "d": False}
+    assert sink.pending_kinds(["x", "y", "x2", "y"], {"x2": "x"}) == ["x", "y"]
+    for value, want in (("", False), ("off", False), ("No", False), ("1", True), ("yes", True)):
+        monkeypatch.setenv("CLIPLOOM_T", value)
+        assert config.env_flag("CLIPLOOM_T", True) is want
+    monkeypatch.delenv("CLIPLOOM_T")
+    assert config.env_flag("CLIPLOOM_T", True)
+    states = spark.createDataFrame([(True, True, True, True), (True, True, True, False), (True, None, None, None)], "downloaded boolean, extracted boolean, scored boolean, uploaded boolean")
+    assert [r[0] for r in states.select(progress.next_action()).collect()] == ["skip", "upload", "extract"]
+    assert [r[0] for r in states.select(progress.next_action(calibrating=True)).collect()] == ["process", "process", "extract"]
