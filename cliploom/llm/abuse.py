@@ -357,7 +357,7 @@ def score(spark: SparkSession, text: Column, model: Model) -> Column:
 
 
 def score_documents(documents: DataFrame, judgements: DataFrame) -> DataFrame:
-    """``documents`` with ``score`` and ``abusive``."""
+    """``documents`` with ``score`` and ``abusive``, which replace columns of these names."""
     spark = documents.sparkSession
     model = train(judged_documents(documents, judgements))
     return documents.withColumn("score", score(spark, F.col("text"), model)).withColumn("abusive", F.col("score") >= THRESHOLD)

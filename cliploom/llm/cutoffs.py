@@ -92,8 +92,8 @@ def _descend(nodes: pa.Array, ranks: pa.Array) -> pa.Array:
 
 
 def coded(scores: DataFrame) -> DataFrame:
-    """Valid rows of (source, name, id, value) with their code."""
-    valid = scores.where("source is not null and name is not null and value is not null and not isnan(value)")
+    """Valid rows of (source, name, id, value) with their code; other columns are left out."""
+    valid = scores.select(*[c for c in ("source", "name", "id", "value") if c in scores.columns]).where("source is not null and name is not null and value is not null and not isnan(value)")
     return valid.withColumn("code", _code("value"))
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Values a summary keeps at most, summaries merged in one step, and values a task holds before it writes summaries.
-SIZE, FAN_IN, BUFFER = 400, 8, 4_000_000
+SIZE, FAN_IN, BUFFER = 400, 8, 2_000_000
 
 SUMMARY = T.StructType([
     T.StructField("n", T.LongType()),
@@ -211,7 +211,7 @@ def grouped_summaries(rows: DataFrame, key: str, names: list[str], by: list[str]
 
     Rows are partitioned by key, hot keys salted; summaries of unsalted keys are final at once and aren't shuffled.
     """
-    rows = rows.where(F.col(key).isNotNull())
+    rows = rows.where(F.col(key).isNotNull()).select(*dict.fromkeys([key, *by, *names]))
     placed = salted(rows, key, hot_keys(rows, key), by, salts)
     if distinct:
         placed = placed.groupBy(key, "salt", *by).agg(*[F.max(c).alias(c) for c in names])

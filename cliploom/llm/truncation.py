@@ -309,8 +309,10 @@ def endings(values: DataFrame) -> DataFrame:
 def find_truncated(values: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(one row per value with ``cut``, the table of lengths).
 
-    ``values``: (id, field, source, text), one row per value, a written table, as it is read twice.
+    ``values``: (id, field, source, text), one row per value, a written table, as it is read twice; other columns are
+    left out.
     """
+    values = values.select("id", "field", "source", "text")
     sized = values.where("text is not null and trim(text) <> ''").withColumn("chars", F.length("text")).withColumn("bytes", F.octet_length("text")).withColumn("same", F.xxhash64("text"))
     # Limits in bytes lie at other lengths where characters are wide, so scripts are tested apart.
     sized = sized.withColumn("source", F.coalesce("source", F.lit(""))).withColumn("script", F.when(F.col("bytes") > 1.5 * F.col("chars"), "wide").otherwise("narrow"))

@@ -54,12 +54,12 @@ def test_interactions_are_learnt_from_noisy_judgements_of_whole_documents():
 
 
 def test_null_empty_and_no_judgements(spark):
-    docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, " \n ", "x"), (4, "You are an idiot.", "x"), (4, "You are an idiot.", "x"), (5, "The light is nice.", None)], "doc_id bigint, text string, flagged string")
+    docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, " \n ", "x"), (4, "You are an idiot.", "x"), (4, "You are an idiot.", "x"), (5, "The light is nice.", None)], "doc_id bigint, text string, score string")
     none = spark.createDataFrame([], "doc_id bigint, rater string, flagged boolean")
     got = {(r.doc_id, r.abusive) for r in abuse.score_documents(docs, none).collect()}
     assert got == {(1, False), (2, False), (3, False), (4, True), (5, False)}
     votes = spark.createDataFrame([(5, "a", None), (5, "b", True), (5, "b", True), (5, "c", False), (None, "a", True), (99, "a", True)], "doc_id bigint, rater string, flagged boolean")
-    assert abuse.judged_documents(docs.drop("flagged"), votes) == [("The light is nice.", 1.0, 2.0)]
+    assert abuse.judged_documents(docs, votes) == [("The light is nice.", 1.0, 2.0)]
     assert abuse.score_documents(docs.limit(0), votes).count() == 0
 
 

@@ -64,3 +64,12 @@ def test_batches_add_up_to_the_whole_tree(spark):
     rows, targets = sample(2, 1500), {"x": 0.5, "y": 0.1}
     one, two = (cutoffs.build_tree(spark.createDataFrame(r, SCORES)) for r in (rows[:700], rows[700:]))
     assert run(spark, rows, targets, cutoffs.add_batch(one, two)) == brute(rows, targets)
+
+
+def test_other_columns_do_not_clash(spark):
+    rows = [("a", "x", 1, 2.0), ("a", "x", 2, 1.0)]
+    df = spark.createDataFrame(rows, SCORES)
+    for c in ("code", "n", "rank", "target", "above", "nodes", "page", "keep_fraction"):
+        df = df.selectExpr("*", f"'z' as {c}")
+    cut, at = cutoffs.cutoffs(df, spark.createDataFrame([("x", 0.5, 9)], "name string, keep_fraction double, n int"))
+    assert [(r.cutoff, r.kept) for r in cut.collect()] == [(2.0, 1)] and [r.id for r in at.collect()] == [1]

@@ -68,3 +68,8 @@ def test_empty_table_and_repeated_rows(spark):
     got = sorted((r.id, r.container) for r in packing.pack(items, 8).collect() if r.container is not None)
     assert got == [(1, 0), (1, 1)]
     assert packing.pack(items.where("size is null"), 8).count() == 1
+
+
+def test_other_columns_do_not_clash(spark):
+    items = spark.createDataFrame([(1, 5, "z", "z", "z", "z")], "id bigint, size int, length string, bucket string, n string, container string")
+    assert [(r.id, r.length, r.container) for r in packing.pack(items, 8).collect()] == [(1, 5, 0)]

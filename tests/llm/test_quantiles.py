@@ -95,3 +95,11 @@ def test_days_combine(spark):
         first, last = rank_bounds(values, r.value)
         k = math.ceil(0.5 * len(values))
         assert r.n == len(values) and max(first - k, k - last, 0) <= r.rank_error
+
+
+def test_other_columns_do_not_clash(spark):
+    df = spark.createDataFrame([("k", 1, 2.0), ("k", 2, 4.0)], "src string, id bigint, a double")
+    for c in ("salt", "part", "name", "s", "n", "partial"):
+        df = df.selectExpr("*", f"'z' as {c}")
+    got = Q.percentiles(Q.grouped_summaries(df, "src", ["a"], ["id"]), [0.5]).collect()
+    assert [(r.n, r.value, r.rank_error) for r in got] == [(2, 2.0, 0)]

@@ -69,3 +69,11 @@ def test_weights_empty_and_groups(spark):
     assert rank_fusion.fuse(df.limit(0), "id", {"a": 1.0, "b": 1.0}).count() == 0
     with pytest.raises(ValueError):
         rank_fusion.fuse(df, "id", {"a": 0.0})
+
+
+def test_other_columns_do_not_clash(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (2, 2.0, 3.0)], "id bigint, s_a double, s_b double")
+    for c in ("complete", "code", "score", "median_rank", "rank_a", "v0", "c0", "n"):
+        df = df.selectExpr("*", f"'z' as {c}")
+    got = rank_fusion.fuse(df, "id", {"a": 1.0, "b": 1.0}).collect()
+    assert sorted((r.id, r.median_rank, r.complete) for r in got) == [(1, 2.0, True), (2, 1.0, True)]

@@ -68,3 +68,12 @@ def test_same_text_in_both_fields_and_empty_table(spark):
     assert [r.cut for r in values.where("id = 5000").collect()] == [True, True]
     values, lengths = X.find_truncated(spark.createDataFrame([], SCHEMA))
     assert values.count() == 0 and lengths.count() == 0
+
+
+def test_other_columns_do_not_clash(spark):
+    rows, true = corpus(300)
+    df = spark.createDataFrame(rows, SCHEMA)
+    plain = {r.id for r in X.find_truncated(df)[0].where("cut").collect()}
+    for c in ("chars", "bytes", "same", "open", "tagged", "script", "cut", "tail", "contexts"):
+        df = df.selectExpr("*", f"'z' as {c}")
+    assert {r.id for r in X.find_truncated(df)[0].where("cut").collect()} == plain
