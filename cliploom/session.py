@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _own_dirs: list[str] = []
+_written: list[str] = []
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, app: str = "cliploom") -> SparkSession:
@@ -35,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY)
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
     if not _own_dirs:
         _own_dirs.append(tempfile.mkdtemp(prefix="cliploom-"))
@@ -50,10 +51,20 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cliploom/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables that :func:`write_table` wrote in this process, once results that read them are stored."""
+    conf, n = spark._jsc.hadoopConfiguration(), 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the test tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

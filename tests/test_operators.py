@@ -270,3 +270,10 @@ def test_small_control_plane_parts(spark, monkeypatch):
     states = spark.createDataFrame([(True, True, True, True), (True, True, True, False), (True, None, None, None)], "downloaded boolean, extracted boolean, scored boolean, uploaded boolean")
     assert [r[0] for r in states.select(progress.next_action()).collect()] == ["skip", "upload", "extract"]
     assert [r[0] for r in states.select(progress.next_action(calibrating=True)).collect()] == ["process", "process", "extract"]
+
+
+def test_written_tables_are_released(spark):
+    from cliploom import session
+
+    t = session.write_table(spark.range(3).toDF("id"), "t")
+    assert t.count() == 3 and session.release(spark) >= 1 and session.release(spark) == 0
