@@ -38,6 +38,9 @@ EPOCHS, ROUNDS, FOLDS, RATE, DECAY = 6, 3, 3, 0.15, 2e-5
 LOOKALIKES = dict(zip("авеікмнорстухѕјԁɡьαβεηικμνορτυχγ", "abeikmhopctyxsjdgbabehikmvoptuxy"))
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "$": "s", "@": "a", "!": "i", "€": "e", "£": "l"}
 MASK = "*_#·•"
+_TERM = (1 << BITS) - 1
+#: Sentences whose scores a worker keeps, and the longest of them; only a cache.
+CACHED_SENTENCES, CACHED_LENGTH = 200_000, 300
 
 #: General sentences that are part of every training (1: abusive, hateful or sexual, 0: not).
 SEEDS: list[tuple[int, str]] = [
@@ -77,12 +80,13 @@ class Terms:
         self.hashes: dict[str, int] = {}
 
     def hash(self, term: str) -> int:
+        """32-bit hash of a word; only words are cached, pairs are mixed from their words' hashes."""
         h = self.hashes.get(term)
         if h is None:
             import xxhash
 
-            h = xxhash.xxh32_intdigest(term) & ((1 << BITS) - 1)
-            if len(self.hashes) < 2_000_000:
+            h = xxhash.xxh32_intdigest(term)
+            if len(self.hashes) < 500_000:
                 self.hashes[term] = h
         return h
 
@@ -119,34 +123,46 @@ class Terms:
                     return k
         return short
 
+    def sentences(self, text: str) -> list[str]:
+        """Sentences of a text in lower case, without invisible characters and accents."""
+        if text.isascii():
+            text = text.lower()
+        else:
+            text = unicodedata.normalize("NFKD", unicodedata.normalize("NFKC", text).lower())
+            text = self.drop.sub("", text)
+        return self.sentence.split(text)
+
+    def words_in(self, sentence: str) -> list[str]:
+        """Plain words of a sentence."""
+        part = self.lead.sub("", sentence, count=1)
+        part = self.spaced.sub(lambda m: "".join(c for c in m.group(0) if c.isalpha()), part)
+        return [self.plain(w) for w in self.word.findall(part)]
+
     def words_of(self, text: str) -> Iterator[list[str]]:
-        """Plain words of each sentence."""
-        text = unicodedata.normalize("NFKD", unicodedata.normalize("NFKC", text).lower())
-        text = self.drop.sub("", text)
-        for part in self.sentence.split(text):
-            part = self.lead.sub("", part, count=1)
-            part = self.spaced.sub(lambda m: "".join(c for c in m.group(0) if c.isalpha()), part)
-            words = [self.plain(w) for w in self.word.findall(part)]
-            if words:
+        """Plain words of each sentence that has any."""
+        for sentence in self.sentences(text):
+            if words := self.words_in(sentence):
                 yield words
 
+    @staticmethod
+    def cut(words: list[str]) -> Iterator[tuple[str, ...]]:
+        """Windows of a sentence; a long one gives overlapping ones, so no part of a text is left out."""
+        for i in range(0, max(1, len(words) - WINDOW + STEP), STEP):
+            yield tuple(words[i : i + WINDOW])
+
     def windows(self, text: str) -> Iterator[tuple[str, ...]]:
-        """Words of each window; a sentence that is longer gives overlapping ones, so no part of a text is left out."""
+        """Words of each window."""
         for words in self.words_of(text):
-            for i in range(0, max(1, len(words) - WINDOW + STEP), STEP):
-                yield tuple(words[i : i + WINDOW])
+            yield from self.cut(words)
 
     def terms(self, words: Sequence[str]) -> list[int]:
-        """Hashed terms of a window, each once."""
-        out = {self.hash("^" + words[0])}
-        for i, w in enumerate(words):
-            out.add(self.hash(w))
-            if i:
-                out.add(self.hash(words[i - 1] + " " + w))
-                if i > 1:
-                    out.add(self.hash(words[i - 2] + " _ " + w))
-            if len(w) >= 6 and w.isalpha():
-                out.add(self.hash(w[:5] + "~"))
+        """Hashed terms of a window, each once: words, neighbouring words, words around a third, beginnings of long words."""
+        one = [self.hash(w) for w in words]
+        out = {(one[0] * 0x27D4EB2F + 1) & _TERM}
+        out.update([h & _TERM for h in one])
+        out.update([((a * 0x9E3779B1 ^ b * 0x85EBCA6B) >> 7) & _TERM for a, b in zip(one, one[1:])])
+        out.update([((a * 0xC2B2AE35 ^ b * 0x165667B1) >> 7) & _TERM for a, b in zip(one, one[2:])])
+        out.update([self.hash(w[:5] + "~") & _TERM for w in words if len(w) >= 6 and w.isalpha()])
         return sorted(out)
 
 
@@ -207,28 +223,41 @@ class Model:
 
     def __init__(self, terms: Terms, machine: Machine, vocabulary: list[str]):
         self.terms, self.machine, self.vocabulary = terms, machine, vocabulary
+        self.known: dict[str, float] = {}  # scores of sentences seen by this worker
 
     def __reduce__(self):
         return _restore, (self.machine.bias, self.machine.weight, self.machine.factor, self.vocabulary)
 
     def scores(self, texts: Sequence[str | None]) -> list[float]:
-        owner, rows, out = [], [], [0.0] * len(texts)
+        """Highest score of any window of each text; sentences that come again aren't scored again."""
+        out, pending, waiting = [0.0] * len(texts), {}, []
         for i, t in enumerate(texts):
-            if not t:
-                continue
-            for w in set(self.terms.windows(t)):
-                owner.append(i)
-                rows.append(self.terms.terms(w))
-            if len(rows) > 20_000:
-                self._take(owner, rows, out)
-                owner, rows = [], []
-        self._take(owner, rows, out)
+            for sentence in self.terms.sentences(t) if t else ():
+                s = self.known.get(sentence)
+                if s is None:
+                    waiting.append((i, pending.setdefault(sentence, len(pending))))
+                elif s > out[i]:
+                    out[i] = s
+            if len(pending) > 20_000:
+                self._take(pending, waiting, out)
+                pending, waiting = {}, []
+        self._take(pending, waiting, out)
         return out
 
-    def _take(self, owner: list[int], rows: list[list[int]], out: list[float]) -> None:
-        for i, s in zip(owner, self.machine.score(rows)):
-            if s > out[i]:
-                out[i] = float(s)
+    def _take(self, pending: dict[str, int], waiting: list[tuple[int, int]], out: list[float]) -> None:
+        owner, rows = [], []
+        for k, sentence in enumerate(pending):
+            if words := self.terms.words_in(sentence):
+                for w in self.terms.cut(words):
+                    owner.append(k)
+                    rows.append(self.terms.terms(w))
+        best = np.zeros(len(pending))
+        np.maximum.at(best, np.array(owner, dtype=np.int64), self.machine.score(rows))
+        for i, k in waiting:
+            out[i] = max(out[i], float(best[k]))
+        for k, sentence in enumerate(pending):
+            if len(sentence) <= CACHED_LENGTH and len(self.known) < CACHED_SENTENCES:
+                self.known[sentence] = float(best[k])
 
 
 def _restore(bias: float, weight: np.ndarray, factor: np.ndarray, vocabulary: list[str]) -> Model:
