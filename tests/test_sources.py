@@ -83,3 +83,19 @@ def test_shard_rows_and_extras(spark):
     extra = spark.createDataFrame([("a", 99, True), ("c", None, None)], "source_path string, size_bytes bigint, flash_hit boolean")
     got = {r.source_path: (r.size_bytes, r.output_path, r.flash_hit) for r in sink.shard_rows(res, have, extra).collect()}
     assert got == {"a": (99, "o/a", True), "b": (0, None, None), "c": (6, None, None)}
+
+
+def test_table_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("a", {"d": 1.0}, True), ("b", {}, False), ("c", None, False)], "source_path string, scores map<string,double>, keep boolean")
+    sink.write_calibration(rows, str(tmp_path / "cal"))
+    got = spark.read.parquet(str(tmp_path / "cal"))
+    assert sorted(r.source_path for r in got.collect()) == ["a", "b"] and got.schema["scores"].dataType.typeName() == "map"
+    sink.write_grid(spark.createDataFrame([(0.5, 3)], "dover double, tp int"), str(tmp_path / "grid"))
+    assert [tuple(r) for r in spark.read.csv(str(tmp_path / "grid"), header=True).collect()] == [("0.5", "3")]
+    sink.write_states(rows.select("source_path"), str(tmp_path / "st"))
+    sink.write_states(rows.select("source_path").limit(1), str(tmp_path / "st"))
+    assert spark.read.parquet(str(tmp_path / "st")).count() == 1
+    sink.write_summaries(spark.createDataFrame([("s", None)], "shard string, clips int"), str(tmp_path / "su"))
+    assert next((tmp_path / "su").glob("part-*")).read_text().strip() == '{"shard":"s","clips":null}'
+    sink.write_run_log(str(tmp_path / "log.json"), "success", {"flash": 2}, strategy=None)
+    assert json.loads((tmp_path / "log.json").read_text()) == {"status": "success", "reason_counts": {"flash": 2}, "strategy": None}
