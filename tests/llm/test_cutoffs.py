@@ -73,3 +73,9 @@ def test_other_columns_do_not_clash(spark):
         df = df.selectExpr("*", f"'z' as {c}")
     cut, at = cutoffs.cutoffs(df, spark.createDataFrame([("x", 0.5, 9)], "name string, keep_fraction double, n int"))
     assert [(r.cutoff, r.kept) for r in cut.collect()] == [(2.0, 1)] and [r.id for r in at.collect()] == [1]
+
+
+def test_large_cutoff_tables_take_the_shuffle_join(spark, monkeypatch):
+    monkeypatch.setattr(cutoffs, "BROADCAST_ROWS", 0)
+    rows, targets = sample(3, 800), {"x": 0.3, "y": 0.625}
+    assert run(spark, rows, targets) == brute(rows, targets)
