@@ -352,8 +352,8 @@ ORACLE = {
   SELECT clip_id, scene, f, greatest(e, f) AS l FROM (SELECT clip_id, scene, CAST(trunc(s * fps) AS INTEGER) AS f, CAST(trunc(x * fps) AS INTEGER) - 1 AS e FROM (
    SELECT clip_id, fps, 0 AS scene, 0.0::DOUBLE AS s, round(total_frames / fps * 0.7, 3) AS x FROM clip_results WHERE fps > 0 UNION ALL
    SELECT clip_id, fps, 1, round(total_frames / fps * 0.7, 3), total_frames / fps FROM clip_results WHERE fps > 0)))""",
-    "uniform_indices": f"SELECT total, n, CASE WHEN total <= 0 OR n <= 0 THEN [] WHEN n >= total THEN range(total) ELSE list_transform(range(n), lambda i: CAST(trunc(i * (CAST(total AS DOUBLE) / n)) AS INTEGER)) END AS at FROM {_SZ}",
-    "frame_pairs": f"SELECT total, n, CASE WHEN total < 2 THEN [] ELSE list_filter(list_transform(range(greatest(n, 1)), lambda i: i * greatest(total // (greatest(n, 1) + 1), 1)), lambda x: x + 1 < total) END AS at FROM {_SZ}",
+    "uniform_indices": f"SELECT total, n, CAST(CASE WHEN total <= 0 OR n <= 0 THEN [] WHEN n >= total THEN range(total) ELSE list_transform(range(n), lambda i: CAST(trunc(i * (CAST(total AS DOUBLE) / n)) AS INTEGER)) END AS INTEGER[]) AS at FROM {_SZ}",
+    "frame_pairs": f"SELECT total, n, CAST(CASE WHEN total < 2 THEN [] ELSE list_filter(list_transform(range(greatest(n, 1)), lambda i: i * greatest(total // (greatest(n, 1) + 1), 1)), lambda x: x + 1 < total) END AS INTEGER[]) AS at FROM {_SZ}",
     "caption_frame_indices": f"""SELECT total, n, CASE WHEN total <= 0 OR n <= 0 THEN [] WHEN n = 1 THEN [total // 2] ELSE list_sort(list_distinct(list_transform(range(greatest(n, 2)), lambda i:
   least(CAST(round_even(CAST(i AS DOUBLE) * greatest(total - 1, 1) / greatest(n - 1, 1), 0) AS INTEGER), total - 1)))) END AS at FROM {_SZ}""",
     "polygon_area": "SELECT l_orderkey, l_linenumber, round(l_quantity * (l_discount * 100), 6) AS area FROM lineitem",
@@ -369,7 +369,7 @@ ORACLE = {
   FROM {_ST} s FULL JOIN (SELECT DISTINCT shard FROM clip_results WHERE shard IS NOT NULL UNION SELECT 'zz_new.zip') n ON s.shard = n.shard""",
     "manifest_json_meta": "SELECT '/data/' || source_path AS video_path, CAST(length(text) AS INTEGER) AS text_len, CASE WHEN n_chars IS NOT NULL THEN 'int' END AS kind, CAST(n_chars AS DOUBLE) AS number, lang FROM documents WHERE source_path IS NOT NULL",
     "flag_totals": f"SELECT count(*) AS shards, {_FLAGS} FROM {_ST}",
-    "stage_counts": f"SELECT stage, shards, row_number() OVER (ORDER BY shards DESC, stage) AS place FROM (SELECT stage, count(*) AS shards FROM {_ST} GROUP BY stage)",
+    "stage_counts": f"SELECT stage, shards, CAST(row_number() OVER (ORDER BY shards DESC, stage) AS INTEGER) AS place FROM (SELECT stage, count(*) AS shards FROM {_ST} GROUP BY stage)",
     "oldest_active_topk": f"SELECT shard, stage, saved_at FROM {_ST} WHERE NOT coalesce(uploaded, false) AND stage NOT IN ('uploaded', 'processed') ORDER BY saved_at, shard LIMIT 5",
     "oldest_active_per_config": f"SELECT config, shard, saved_at FROM (SELECT split_part(shard, '_', 1) AS config, shard, saved_at, row_number() OVER (PARTITION BY split_part(shard, '_', 1) ORDER BY saved_at, shard) AS p FROM {_ST} WHERE NOT coalesce(uploaded, false) AND stage NOT IN ('uploaded', 'processed')) WHERE p = 1",
     "avg_shard_duration": f"SELECT stage, count(*) AS finished, round(avg({_DUR}), 3) AS avg_seconds FROM {_ST} WHERE finished_at IS NOT NULL GROUP BY stage",

@@ -217,7 +217,7 @@ _CHAIN_SQL = f"(0.2 < dover AND dover <= 0.9 AND NOT (aes < 4 OR (CASE WHEN isin
 _FUNNEL = f"""SELECT *, reason IS NULL AS k FROM (SELECT *, CASE WHEN total_frames < 60 THEN 'split_failed' {{drop}}
   WHEN dover IS NULL OR isnan(dover) OR aes IS NULL OR isnan(aes) THEN 'scoring_error' WHEN dover < dover_thr OR aes < aes_thr THEN 'score_below_threshold'
   WHEN NOT coalesce(size_bytes > 0, false) THEN 'source_missing' END AS reason FROM (SELECT * EXCLUDE (reason, keep) FROM ({_S})), ({_T}))"""
-_FR = "SELECT CAST(user_id AS VARCHAR) AS path, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS frame_idx, value AS mean_luma FROM events"
+_FR = "SELECT CAST(user_id AS VARCHAR) AS path, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INTEGER) AS frame_idx, value AS mean_luma FROM events"
 _CONF = "SELECT " + ", ".join(
     f"count(*) FILTER (said AND keep) AS tp, count(*) FILTER (said AND NOT keep) AS fp, count(*) FILTER (NOT said AND keep) AS fn" for _ in range(1)
 )
@@ -257,7 +257,7 @@ ORACLE = {
     "calibration_cap": "SELECT count(*) AS n_rows, CAST(sum(size_bytes) AS BIGINT) AS size_bytes FROM (SELECT size_bytes FROM clip_results WHERE scores IS NOT NULL ORDER BY source_path, scored_at, size_bytes LIMIT 3000)",
     "calibration_wide": "SELECT shard, " + ", ".join(f"count(scores['{n}']) AS n_{n}" for n in NAMES) + " FROM clip_results GROUP BY shard",
     "threshold_grid": f"SELECT {', '.join(_D.format(n, n) for n in GRID)}, tp, fp, fn, round(prec, 9) AS prec, round(rec, 9) AS rec FROM ({_GRID})",
-    "top_thresholds": f"SELECT {', '.join(_D.format(n, n) for n in GRID)}, tp, fp, fn, row_number() OVER (ORDER BY rec DESC, prec DESC, dover, aes, motion) AS place FROM ({_GRID}) QUALIFY place <= 10",
+    "top_thresholds": f"SELECT {', '.join(_D.format(n, n) for n in GRID)}, tp, fp, fn, CAST(row_number() OVER (ORDER BY rec DESC, prec DESC, dover, aes, motion) AS INTEGER) AS place FROM ({_GRID}) QUALIFY place <= 10",
     "flash_filter": f"""SELECT path, count(*) AS n_samples, count(*) FILTER (abs(v - p) >= 60) AS n_events, round(count(*) FILTER (abs(v - p) >= 60) / count(*), 9) AS flash_ratio,
   count(*) FILTER (abs(v - p) >= 60) / count(*) >= 0.3 AS flash_hit FROM (SELECT path, mean_luma AS v, lag(mean_luma) OVER (PARTITION BY path ORDER BY frame_idx) AS p FROM ({_FR}) WHERE frame_idx % 2 = 0) GROUP BY path""",
     "text_area_any": f"SELECT path, bool_or(mean_luma / 20000 >= 0.012) AS ocr_hit FROM ({_FR}) WHERE frame_idx % 3 = 0 GROUP BY path",
@@ -265,11 +265,11 @@ ORACLE = {
   SELECT path, frame_idx, coalesce(abs(mean_luma - lag(mean_luma) OVER (PARTITION BY path, frame_idx // 16 ORDER BY frame_idx)), 0.0) AS raw FROM ({_FR}))""",
     "boundary_spans": f"""WITH f AS ({_FR}), n AS (SELECT path, max(frame_idx) AS stop FROM f GROUP BY path),
   e AS (SELECT path, frame_idx AS pos FROM f WHERE mean_luma >= 120 AND frame_idx > 0 UNION SELECT path, stop FROM n)
-  SELECT path, row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS span_idx, round(coalesce(lag(pos) OVER (PARTITION BY path ORDER BY pos), 0) / 25.0, 6) AS start, round(pos / 25.0, 6) AS "end" FROM e""",
+  SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS INTEGER) AS span_idx, round(coalesce(lag(pos) OVER (PARTITION BY path ORDER BY pos), 0) / 25.0, 6) AS start, round(pos / 25.0, 6) AS "end" FROM e""",
     "adaptive_ratio": f"""SELECT path, frame_idx, round(CASE WHEN m > 1e-5 THEN least(c / m, 255.0) WHEN c >= 15 THEN 255.0 ELSE 0.0 END, 6) AS ratio FROM (SELECT path, frame_idx, mean_luma AS c,
   CASE WHEN count(*) OVER w > 1 THEN (sum(mean_luma) OVER w - mean_luma) / (count(*) OVER w - 1) END AS m FROM ({_FR}) WINDOW w AS (PARTITION BY path ORDER BY frame_idx ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))""",
     "scene_spans_differences": f"""WITH f AS ({_FR}), n AS (SELECT path, max(frame_idx) AS stop FROM f GROUP BY path),
   r AS (SELECT path, frame_idx, coalesce(abs(mean_luma - lag(mean_luma) OVER w), 0.0) AS raw FROM f WINDOW w AS (PARTITION BY path, frame_idx // 1024 ORDER BY frame_idx)),
   e AS (SELECT path, frame_idx AS pos FROM (SELECT *, raw / (max(raw) OVER (PARTITION BY path, frame_idx // 1024) + 1e-6) AS diff FROM r) WHERE diff >= 0.6 AND frame_idx > 0 UNION SELECT path, stop FROM n)
-  SELECT path, row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS span_idx, round(coalesce(lag(pos) OVER (PARTITION BY path ORDER BY pos), 0) / 25.0, 6) AS start, round(pos / 25.0, 6) AS "end" FROM e""",
+  SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS INTEGER) AS span_idx, round(coalesce(lag(pos) OVER (PARTITION BY path ORDER BY pos), 0) / 25.0, 6) AS start, round(pos / 25.0, 6) AS "end" FROM e""",
 }
