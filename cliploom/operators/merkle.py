@@ -192,7 +192,7 @@ class MerkleStore:
     def run(self, current: DataFrame, process: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Process what is new or changed and publish output, records and tree as one version; returns the output.
 
-        With no change at all nothing is written and the output is empty.
+        Without any change, deletions included, no version is made and the output is empty.
         """
         todo, now, m = self.pending(current)
         version, old = m["version"] + 1, self.saved(m)
@@ -204,6 +204,8 @@ class MerkleStore:
             a, b = canonical(old, self.keys), canonical(current, self.keys)
             gone = old.withColumn("__k", a).join(current.select(b.alias("__k")).distinct(), "__k", "left_anti").select(*keep).withColumn("__deleted", F.lit(True))
             rows = rows.unionByName(gone)
+            if rows.isEmpty():
+                return process(todo)
         process(todo).write.mode("overwrite").parquet(f"{base}/output")
         with_leaf(rows, self.keys, self.depth).sortWithinPartitions(LEAF).write.mode("overwrite").parquet(f"{base}/rows")
         now.write.mode("overwrite").parquet(f"{base}/tree")
