@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cliploom.llm import abuse, clips, cutoffs, packing, quantiles, rank_fusion, tokens, truncation
+from cliploom.operators import calibrate
 from cliploom.session import table, write_table
 
 TOKENIZER = "byte_bpe_50k"
-#: The models whose scores clips carry; fixed names of the data model.
+#: The four scores that p2 ranks clips by.
 MODELS = ["dover", "dover_tech", "aes", "motion"]
 PERCENTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
@@ -59,19 +60,26 @@ def p2_ranking(spark: SparkSession, d: str) -> DataFrame:
     return clip_ranking(spark, d)
 
 
+def _version_scores(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
+    """Rows (shard, clip_id, scored_at, a column per model) of all versions, and the models: every key of the score maps."""
+    rows = table(spark, d, "clip_results")
+    names = calibrate.score_names(rows)
+    return rows.select("shard", "clip_id", "scored_at", *[clips.score(m).alias(m) for m in names]), names
+
+
 def p5_percentiles(spark: SparkSession, d: str) -> DataFrame:
     """Percentiles of each shard and model over all scored versions, copies of a row counting once."""
-    rows = table(spark, d, "clip_results").select("shard", "clip_id", "scored_at", *[clips.score(m).alias(m) for m in MODELS])
-    summaries = quantiles.grouped_summaries(rows, "shard", MODELS, ["clip_id", "scored_at"])
+    rows, names = _version_scores(spark, d)
+    summaries = quantiles.grouped_summaries(rows, "shard", names, ["clip_id", "scored_at"])
     return quantiles.percentiles(summaries, PERCENTILES)
 
 
 def p5_within_bounds(spark: SparkSession, d: str) -> DataFrame:
     """Whether each percentile's true rank lies within the stated error, and the stated error within 2 % of n."""
-    rows = table(spark, d, "clip_results").select("shard", "clip_id", "scored_at", *[clips.score(m).alias(m) for m in MODELS])
+    rows, names = _version_scores(spark, d)
     got = p5_percentiles(spark, d).groupBy("shard", "name", "n", "value").agg(F.collect_list(F.struct("q", "rank_error")).alias("asked"))
-    once = rows.where("shard is not null").groupBy("shard", "clip_id", "scored_at").agg(*[F.max(m).alias(m) for m in MODELS])
-    long = clips.long_scores(once.withColumnsRenamed({m: f"s_{m}" for m in MODELS}), ["shard"], MODELS)
+    once = rows.where("shard is not null").groupBy("shard", "clip_id", "scored_at").agg(*[F.max(m).alias(m) for m in names])
+    long = clips.long_scores(once.withColumnsRenamed({m: f"s_{m}" for m in names}), ["shard"], names)
     counts = long.groupBy("shard", "name", "value").agg(F.count(F.lit(1)).alias("equal"))
     upto = F.sum("equal").over(Window.partitionBy("shard", "name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
     true = counts.select("shard", "name", "value", (upto - F.col("equal") + 1).alias("first"), upto.alias("last"))
@@ -84,9 +92,10 @@ def p5_within_bounds(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_days_combined(spark: SparkSession, d: str) -> DataFrame:
     """Medians from summaries of separate days, kept by day and merged: the stored form and its use."""
-    rows = table(spark, d, "clip_results").where("shard is not null").select("shard", F.to_date("scored_at").alias("day"), "clip_id", "scored_at", *[clips.score(m).alias(m) for m in MODELS])
-    once = rows.groupBy("shard", "day", "clip_id", "scored_at").agg(*[F.max(m).alias(m) for m in MODELS])
-    parts = quantiles.summarise(once, ["shard", "day"], MODELS)
+    rows, names = _version_scores(spark, d)
+    rows = rows.where("shard is not null").withColumn("day", F.to_date("scored_at"))
+    once = rows.groupBy("shard", "day", "clip_id", "scored_at").agg(*[F.max(m).alias(m) for m in names])
+    parts = quantiles.summarise(once, ["shard", "day"], names)
     daily = quantiles.merge_summaries(parts, ["shard", "day", "name"])
     total = quantiles.merge_summaries(daily.withColumnRenamed("day", "part"), ["shard", "name"])
     return quantiles.percentiles(total, [0.5])

@@ -17,6 +17,12 @@ def scored_rows(metadata: DataFrame) -> DataFrame:
     return metadata.where(F.col("scores").isNotNull())
 
 
+def score_names(metadata: DataFrame, scores: str = "scores") -> list[str]:
+    """The models that any score map has an entry of, in order: as many as there are models."""
+    names = metadata.select(F.explode(F.map_keys(scores)).alias("name")).distinct().collect()
+    return sorted(r["name"] for r in names)
+
+
 def long_scores(metadata: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """(name, value): scores that are neither null nor NaN, of the named models only if names are given."""
     if names is not None:

@@ -111,7 +111,7 @@ def flow_magnitude(spark: SparkSession, d: str) -> DataFrame:
 
 
 def calibration_quantiles(spark: SparkSession, d: str) -> DataFrame:
-    got = calibrate.quantiles(table(spark, d, "clip_results"), [0.1, 0.4, 0.5, 0.7, 0.95], NAMES)
+    got = calibrate.quantiles(table(spark, d, "clip_results"), [0.1, 0.4, 0.5, 0.7, 0.95])
     return got.select("name", "q", F.round("value", 6).alias("value"))
 
 
@@ -123,8 +123,10 @@ def calibration_cap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def calibration_wide(spark: SparkSession, d: str) -> DataFrame:
-    wide = calibrate.wide_scores(table(spark, d, "clip_results"), NAMES, ["shard"])
-    return wide.groupBy("shard").agg(*[F.count(n).alias(f"n_{n}") for n in NAMES])
+    rows = table(spark, d, "clip_results")
+    names = calibrate.score_names(rows)
+    wide = calibrate.wide_scores(rows, names, ["shard"])
+    return wide.groupBy("shard").agg(*[F.count(n).alias(f"n_{n}") for n in names])
 
 
 GRID = {"dover": [0.3, 0.4, 0.5, 0.6], "aes": [4.0, 4.5, 5.0], "motion": [20.0, 36.0, 60.0, 90.0]}

@@ -2,8 +2,11 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cliploom.llm import quantiles as Q
+from cliploom.llm import queries
+from cliploom.plans import selection
 
 
 def rank_bounds(values, x):
@@ -103,3 +106,17 @@ def test_other_columns_do_not_clash(spark):
         df = df.selectExpr("*", f"'z' as {c}")
     got = Q.percentiles(Q.grouped_summaries(df, "src", ["a"], ["id"]), [0.5]).collect()
     assert [(r.n, r.value, r.rank_error) for r in got] == [(2, 2.0, 0)]
+
+
+def test_queries_cover_every_model_of_the_score_maps(spark, tmp_path):
+    maps = [{"dover": i / 10, "sanity": 1.0, "new_model": math.nan if i == 3 else float(i)} for i in range(10)]
+    rows = [("s", f"c{i}", f"2024-01-0{1 + i % 2} 00:00:00", m) for i, m in enumerate(maps)] + [("s", "none", "2024-01-01 00:00:00", None)]
+    df = spark.createDataFrame(rows, "shard string, clip_id string, scored_at string, scores map<string,double>")
+    df.withColumn("scored_at", F.to_timestamp("scored_at")).write.parquet(f"{tmp_path}/clip_results.parquet")
+    want = {"dover": 10, "sanity": 10, "new_model": 9}
+    for name in ("p5_percentiles", "p5_days_combined", "p5_within_bounds"):
+        got = queries.QUERIES[name](spark, str(tmp_path)).collect()
+        assert {(r["name"], r.n) for r in got} == set(want.items()), name
+    assert all(r.within for r in got)
+    assert {r["name"] for r in selection.calibration_quantiles(spark, str(tmp_path)).collect()} == set(want)
+    assert [r.asDict() for r in selection.calibration_wide(spark, str(tmp_path)).collect()] == [{"shard": "s", "n_dover": 10, "n_new_model": 10, "n_sanity": 10}]
