@@ -15,6 +15,7 @@ from pathlib import PurePosixPath
 from typing import Any, Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -221,6 +222,12 @@ def link_or_copy(source: str, target: str, copy: bool = False) -> bool:
     return True
 
 
+@F.arrow_udf(T.BooleanType())
+def exists(paths: pa.Array) -> pa.Array:
+    """Whether there is a file at each path, asked on the executors; a null path has none."""
+    return pa.array([p is not None and os.path.exists(p) for p in paths.to_pylist()], pa.bool_())
+
+
 def materialize(rows: DataFrame, source: str, target: str, copy: bool = False) -> None:
     """Link or copy the files of rows to their targets on the executors; repeated tasks do no harm."""
 

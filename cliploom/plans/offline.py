@@ -90,10 +90,10 @@ def run(spark: SparkSession, config: Config, job: Job) -> dict:
             scored = edge.score(todo.withColumnRenamed("source_path", "video_path"), models).withColumnRenamed("video_path", "source_path")
             reason = select.score_reason(F.col("scores"), config.thresholds(), strategy, F.col("text"), F.col("meta"))
             decided = write_table(select.decide(scored, reason), "decided")
-            roots = sorted({os.path.dirname(r["source_path"]) for r in decided.select("source_path").limit(10_000).collect()}) if n <= 10_000 else [*job.folders]
-            found = files.listing(spark, [r for r in roots if os.path.isdir(r)]) if roots else decided.select(F.col("source_path").alias("path"), F.lit(0).cast("bigint").alias("length"))
+            sources = decided.where("keep").select(F.col("source_path").alias("path")).distinct()
+            found = sources.where(edge.exists("path"))
             pending_kinds = [m.kind for m in config.models if m.kind.endswith("_stub")]
-            rows = sink.offline_rows(decided, found.select("path", "length").distinct(), pending_kinds)
+            rows = sink.offline_rows(decided, found, pending_kinds)
             rows = write_table(rows, "rows")
             targets = rows.where("keep").withColumn("target", F.concat(F.lit(os.path.join(output, "videos") + "/"), "output_path"))
             edge.materialize(targets, "source_path", "target", job.copy)

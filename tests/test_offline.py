@@ -57,6 +57,22 @@ def test_run_resume_and_strategy(spark, setup):
     assert json.loads((root / "out" / "runlog.json").read_text())["status"] == "success"
 
 
+@pytest.mark.parametrize("with_folder", [False, True])
+def test_vanished_sources_of_many_records(spark, setup, with_folder):
+    root, _ = setup
+    (root / "other").mkdir()
+    (root / "other" / "here.mp4").write_bytes(b"x")
+    (root / "other" / "empty.mp4").touch()
+    names = ["other/here.mp4", "other/empty.mp4", *[f"gone/g_{i}.mp4" for i in range(10_020)]]
+    (root / "many.jsonl").write_text("\n".join(json.dumps({"video_path": n}) for n in names))
+    folders = [str(root / "v")] if with_folder else []
+    log = run(spark, config.from_dict({"workdir": str(root / "w")}), Job(str(root / "many.jsonl"), folders, output=str(root / "out")))
+    assert log["reason_counts"] == {"source_missing": 10_020}
+    kept = {k[0] for k, r in read(spark, root / "out").items() if r.keep}
+    assert kept == {"here.mp4", "empty.mp4"} | ({f"c_{i}.mp4" for i in range(8)} | {"c_9.mov"} if with_folder else set())
+    assert len(list((root / "out" / "videos").iterdir())) == len(kept)
+
+
 def test_no_models_keep_all_and_failures_are_logged(spark, setup):
     root, _ = setup
     conf = config.from_dict({"workdir": str(root / "w")})
