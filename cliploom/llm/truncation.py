@@ -38,8 +38,8 @@ from cliploom.session import write_table
 NEIGHBOURS, FDR, LEAST_EVENTS, LEAST_RATIO, BESIDE_RATIO = 12, 0.001, 5, 8.0, 2.5
 #: A context needs so many occurrences to decide; below these shares of sentence ends the ending is a cut.
 LEAST_SEEN, SHARE_WITH_HEAD, SHARE_WITHOUT = 5, 0.2, 0.04
-#: Records that share a text without stop before it may be a label.
-LABEL = 20
+#: Sources that each repeat a text without stop, and their share of all sources, from which on it may be a label.
+LABEL_SOURCES, LABEL_SHARE = 3, 0.5
 #: Words that end no sentence, in the languages of the texts.
 DANGLING = frozenset(
     "a an the and or but nor of to in on at by for from with into onto over under between behind beside near along "
@@ -282,17 +282,21 @@ def _ending_verdict() -> Column:
 
 
 def _label() -> Column:
-    """True for a text that many records share and that goes on nowhere, though its last word is a whole one."""
+    """True for a text that sources repeat alike and whose last word, a whole one, isn't known after the word before it."""
     seen = lambda i: F.coalesce(F.col(f"f{i}.seen"), F.lit(0))
-    return F.col("one") & (seen(0) == 0) & ((seen(4) >= LEAST_SEEN) | (seen(5) < LEAST_SEEN))
+    unknown = (seen(0) == 0) & (seen(2) < LEAST_SEEN) & (seen(3) < LEAST_SEEN)
+    return F.col("one") & unknown & (seen(4) >= LEAST_SEEN)
 
 
 def endings(values: DataFrame) -> DataFrame:
     """``values`` (with ``text``) plus ``open`` (no final stop), ``tagged`` and ``cut_by_ending``; reads ``values`` twice."""
     read = values.withColumn("e", ending("text"))
     read = write_table(read.select(*[c for c in values.columns if c != "text"], F.col("e.ended").alias("ended"), F.col("e.tagged").alias("tagged"), F.col("e.broken").alias("broken"), F.col("e.dangling").alias("dangling"), F.col("e.contexts").alias("contexts")), "endings")
-    unclear = read.where(~F.col("ended") & (F.size("contexts") > 0)).groupBy("contexts").agg(F.count(F.lit(1)).alias("n"), F.min("same").alias("low"), F.max("same").alias("high"))
-    unclear = unclear.withColumn("tail", F.xxhash64("contexts")).withColumn("one", (F.col("n") >= LABEL) & (F.col("low") == F.col("high")))
+    # A cut of one source doesn't end at the same place in most of the others, nor does one source hold most copies of a label.
+    least = max(LABEL_SOURCES, LABEL_SHARE * read.select("source").distinct().count())
+    unclear = read.where(~F.col("ended") & (F.size("contexts") > 0)).groupBy("contexts", "source").agg(F.count(F.lit(1)).alias("n"), F.min("same").alias("low"), F.max("same").alias("high"))
+    spread = (F.count_if(F.col("n") > 1) >= least) & (2 * F.max("n") <= F.sum("n"))
+    unclear = unclear.groupBy("contexts").agg((spread & (F.min("low") == F.max("high"))).alias("one")).withColumn("tail", F.xxhash64("contexts"))
     counts = context_counts(values)
     asked = unclear.select("tail", "one", F.posexplode("contexts").alias("i", "context"))
     known = asked.join(counts, "context", "left")
@@ -300,10 +304,10 @@ def endings(values: DataFrame) -> DataFrame:
     facts = write_table(facts.select("tail", _ending_verdict().alias("verdict"), _label().alias("label")), "ending-facts")
     keyed = read.withColumn("tail", F.when(~F.col("ended") & (F.size("contexts") > 0), F.xxhash64("contexts")))
     joined = join_unique(keyed, facts, "tail").drop("tail", "contexts")
-    whole = F.col("ended") | F.coalesce("label", F.lit(False))
+    label = F.coalesce("label", F.lit(False)) & ~F.col("dangling")
     # A connective that the corpus knows to end sentences ("passes behind") is no sign of a cut.
-    cut = ~whole & (F.col("broken") | F.coalesce("verdict", F.col("dangling")))
-    return joined.withColumn("cut_by_ending", cut).withColumn("open", ~whole)
+    cut = ~F.col("ended") & (F.col("broken") | (~label & F.coalesce("verdict", F.col("dangling"))))
+    return joined.withColumn("cut_by_ending", cut).withColumn("open", ~F.col("ended"))
 
 
 def find_truncated(values: DataFrame) -> tuple[DataFrame, DataFrame]:

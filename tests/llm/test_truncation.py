@@ -77,3 +77,25 @@ def test_other_columns_do_not_clash(spark):
     for c in ("chars", "bytes", "same", "open", "tagged", "script", "cut", "tail", "contexts"):
         df = df.selectExpr("*", f"'z' as {c}")
     assert {r.id for r in X.find_truncated(df)[0].where("cut").collect()} == plain
+
+
+def test_reposted_cuts_are_found_and_labels_are_not(spark):
+    rows, _ = corpus(1500)
+    names = ["capped", "free", "s2", "s3"]
+    rows = [(i, f, s if s == "capped" else names[1 + i % 3], t) for i, f, s, t in rows]
+    limit = "Nine zebras graze " + "quietly and slowly " * 10
+    cuts = {
+        "Nine zebras graze near one wooden": ["s2"],  # a common word, reposted within a source
+        "Nine zebras rest beyond some wooden,": names,  # a dangling mark, in all sources
+        "Nine zebras rest (few wooden": names,
+        (limit[:93] + " lamp xx")[:95] + " pier": ["capped"],  # at the length limit
+    }
+    want = {}
+    for k, (text, sources) in enumerate([*cuts.items(), ("Three takes: pan, wooden", names)]):
+        for j in range(40):
+            want[10_000 + 100 * k + j] = text in cuts
+            rows.append((10_000 + 100 * k + j, "caption", sources[j % len(sources)], text))
+    assert max(len(t) for t in cuts) == 100
+    values, _ = X.find_truncated(spark.createDataFrame(rows, SCHEMA))
+    got = {r.id: r.cut for r in values.where("id >= 10000").collect()}
+    assert got == want
