@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cliploom.functions import kernels, text
@@ -261,12 +261,18 @@ def parse_chat_completion(spark: SparkSession, d: str) -> DataFrame:
     return caps.select("caption_id", captions.parse_chat(body).alias("content"))
 
 
+def _json_string(text: Column) -> Column:
+    """``text`` as an escaped JSON string; the missing one is null in JSON."""
+    items = F.to_json(F.array(text), {"ignoreNullFields": "false"})
+    return F.substring(items, F.lit(2), F.length(items) - 2)
+
+
 def parse_generic_response(spark: SparkSession, d: str) -> DataFrame:
     """Captions as objects, strings and plain text."""
-    caps = table(spark, d, "clip_captions").select("caption_id", "caption").where(~F.col("caption").rlike(r'["`\\\n]')).distinct()
+    caps = table(spark, d, "clip_captions").select("caption_id", "caption").distinct()
     k = F.col("caption_id") % 4
     one = lambda name: F.to_json(F.create_map(F.lit("id"), F.lit("7"), F.lit(name), F.col("caption")))
-    body = F.when(k == 0, one("result")).when(k == 1, one("text")).when(k == 2, F.concat(F.lit('"'), F.col("caption"), F.lit('"'))).otherwise(F.concat(F.lit("  ~"), F.col("caption")))
+    body = F.when(k == 0, one("result")).when(k == 1, one("text")).when(k == 2, _json_string(F.col("caption"))).otherwise(F.concat(F.lit("  ~"), F.col("caption")))
     return caps.select("caption_id", captions.parse_generic(body, "result").alias("content"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cliploom import config, edge
 from cliploom.functions import kernels
 from cliploom.operators import calibrate, captions, frames, ordered, partition, progress, records, scenes, select, skew, windows
+from cliploom.plans import pipeline
 from cliploom.sinks import metadata as sink
 from cliploom.streaming import ingest
 
@@ -277,3 +278,20 @@ def test_written_tables_are_released(spark):
 
     t = session.write_table(spark.range(3).toDF("id"), "t")
     assert t.count() == 3 and session.release(spark) >= 1 and session.release(spark) == 0
+
+
+def test_parse_generic_response_reads_every_caption(spark, tmp_path):
+    texts = ["plain", 'says "hi"', "```json\nfenced\n```", "back\\slash \\n", "two\nlines\ttab", '{"caption": "wrapped"}', "", "  blank ends ", "[x]", "null", "5", None]
+    rows = [(4 * i + k, t) for i, t in enumerate(texts) for k in range(4)]
+    spark.createDataFrame(rows, "caption_id bigint, caption string").write.parquet(f"{tmp_path}/clip_captions.parquet")
+    got = {r.caption_id: r.content for r in pipeline.parse_generic_response(spark, str(tmp_path)).collect()}
+
+    def brute(i, t):
+        k = i % 4
+        if k == 3:
+            return None if t is None else f"~{t}".strip() or None
+        if t is None:  # an object has its id left, a JSON null nothing
+            return "7" if k < 2 else None
+        return t.strip() or None
+
+    assert {i: got.get(i, "no row") for i, _ in rows} == {i: brute(i, t) for i, t in rows}
