@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Values of one model up to which quantiles are exact by default; beyond it they are approximate (relative rank 1e-4).
-EXACT_ROWS = 5_000_000
+from cliploom.session import write_table
+
 SAMPLE_SIZE = 10_000
 
 
@@ -38,15 +39,38 @@ def wide_scores(metadata: DataFrame, names: Sequence[str], keep: Sequence[str])
     return metadata.select(*keep, *[F.try_element_at("scores", F.lit(n)).alias(n) for n in names])
 
 
-def quantiles(metadata: DataFrame, qs: Sequence[float], names: Sequence[str] | None = None, exact_rows: int = EXACT_ROWS) -> DataFrame:
-    """(name, q, value) with linear interpolation; models without values have no row."""
-    long = long_scores(metadata, names)
+def _bucket(value: Column) -> Column:
+    """An integer that never falls as the value rises, 256 for each factor of two."""
+    size = F.when(F.abs(value) == F.lit(math.inf), F.lit(600_000)).otherwise(F.floor(F.log2(F.abs(value)) * 256) + 300_000)
+    return F.when(value == 0, F.lit(0)).when(value < 0, -size).otherwise(size).cast("int")
+
+
+def quantiles(metadata: DataFrame, qs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
+    """(name, q, value) with linear interpolation, exact at every size; models without values have no row.
+
+    Counts of value buckets tell which ones hold the ranks asked for; only their distinct values are sorted.
+    """
+    long = long_scores(metadata, names).select("name", (F.col("value") + F.lit(0.0)).alias("value"))
+    counted = long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("c")).withColumn("bucket", _bucket(F.col("value")))
+    counted = write_table(counted, "score-counts")
+    w = Window.partitionBy("name")
+    buckets = counted.groupBy("name", "bucket").agg(F.sum("c").alias("m"))
+    upto = F.sum("m").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+    buckets = buckets.select("name", "bucket", (upto - F.col("m")).alias("before"), upto.alias("upto"), F.sum("m").over(w).alias("n"))
+    # Ranks count from 0; a position between two ranks asks for both.
     asked = F.array(*[F.lit(float(q)) for q in qs])
-    counts = long.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    small = (counts.agg(F.max("n")).first()[0] or 0) <= exact_rows
-    found = F.percentile("value", asked) if small else F.percentile_approx("value", asked, 10_000)
-    pairs = F.arrays_zip(asked.alias("q"), F.col("v").alias("value"))
-    return long.groupBy("name").agg(found.alias("v")).select("name", F.inline(pairs)).toDF("name", "q", "value")
+    place = buckets.select("*", F.posexplode(asked).alias("i", "q")).withColumn("at", F.col("q") * (F.col("n") - 1))
+    place = place.select("*", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank"))
+    place = place.where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
+    place = write_table(place.select("name", "bucket", "before", "i", "q", "at", "rank"), "score-ranks")  # two a model and q at most
+    inner = Window.partitionBy("name", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    sought = counted.join(F.broadcast(place.select("name", "bucket").distinct()), ["name", "bucket"], "left_semi")
+    sought = sought.withColumn("end", F.sum("c").over(inner))
+    found = sought.join(F.broadcast(place), ["name", "bucket"])
+    found = found.where((F.col("before") + F.col("end") - F.col("c") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("end")))
+    both = found.groupBy("name", "i", "q", "at").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise((F.ceil("at") - F.col("at")) * F.col("low") + (F.col("at") - F.floor("at")) * F.col("high"))
+    return both.select("name", "q", value.alias("value"))
 
 
 def capped(metadata: DataFrame, order: Sequence[str], sample_size: int = SAMPLE_SIZE) -> DataFrame:

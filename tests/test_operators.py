@@ -155,6 +155,22 @@ def test_grid_and_quantiles(spark):
     assert calibrate.quantiles(df.limit(0), [0.5]).count() == 0
 
 
+def test_quantiles_are_exact_at_every_size(spark):
+    n, qs = 5_000_050, [0.0, 0.1, 0.37, 0.5, 0.95, 1.0]
+    big = spark.range(0, n, 1, 8).select(F.create_map(F.lit("big"), F.pmod(F.col("id") * 7919, F.lit(n)) * 1.5 - 1000.0).alias("scores"))
+    small = [-math.inf, -3.0, -2.5, -0.0, 0.0, 1e-300, 1.0, 1.0, 1.001, 7.0]
+    few = spark.createDataFrame([({"small": v},) for v in [*small, math.nan, None]], "scores map<string,double>")
+    got = {(r["name"], r.q): r.value for r in calibrate.quantiles(big.unionByName(few), qs).collect()}
+
+    def want(values, q):
+        at = q * (len(values) - 1)
+        low, high = values[math.floor(at)], values[math.ceil(at)]
+        return low if low == high else (math.ceil(at) - at) * low + (at - math.floor(at)) * high
+
+    line = [i * 1.5 - 1000.0 for i in range(n)]
+    assert got == {(k, q): pytest.approx(want(v, q), rel=1e-12) for k, v in (("big", line), ("small", sorted(small))) for q in qs}
+
+
 def test_caption_parsing(spark):
     bodies = {
         "plain text ": "plain text", '"quoted"': "quoted", '{"caption": "c", "text": "t"}': "c", '{"text": "t", "message": "m"}': "t", '{"own": "o", "caption": "c"}': "o",
