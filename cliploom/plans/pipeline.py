@@ -23,12 +23,13 @@ def sliding_windows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scene_windows(spark: SparkSession, d: str) -> DataFrame:
-    """Two spans a video, the second of which may be too short for a window."""
-    clips = table(spark, d, "clip_results").where("fps > 0").select("clip_id", "fps", "total_frames", "width", "height")
-    cut = F.round(F.col("total_frames") / F.col("fps") * 0.7, 3)
-    spans = F.array(F.struct(F.lit(0.0).alias("start"), cut.alias("end")), F.struct(cut.alias("start"), (F.col("total_frames") / F.col("fps")).alias("end")))
+    """Two spans a video, the second of which may be too short for a window; one row of nulls without a frame rate."""
+    clips = table(spark, d, "clip_results").select("clip_id", "fps", "total_frames", "width", "height")
+    stop = F.when(F.col("fps") > 0, F.col("total_frames") / F.col("fps"))
+    cut = F.round(stop * 0.7, 3)
+    spans = F.array(F.struct(F.lit(0.0).alias("start"), cut.alias("end")), F.struct(cut.alias("start"), stop.alias("end")))
     got = windows.video_metadata(clips.withColumn("spans", spans), 48, 24)
-    return got.select("clip_id", F.posexplode("scenes").alias("scene", "s")).select("clip_id", "scene", "s.start_frame", "s.end_frame", "s.num_windows")
+    return got.select("clip_id", F.posexplode_outer("scenes").alias("scene", "s")).select("clip_id", "scene", "s.start_frame", "s.end_frame", "s.num_windows")
 
 
 def _sizes(spark: SparkSession, d: str) -> DataFrame:

@@ -82,7 +82,7 @@ def flash_record_only(spark: SparkSession, d: str) -> DataFrame:
 
 def fused_score(spark: SparkSession, d: str) -> DataFrame:
     s = lambda n: F.try_element_at("scores", F.lit(n))
-    clips = table(spark, d, "clip_results").select("clip_id", s("dover_tech").alias("t"), s("dover").alias("a")).where("not isnan(t) or t is null").where("not isnan(a) or a is null")
+    clips = table(spark, d, "clip_results").select("clip_id", s("dover_tech").alias("t"), s("dover").alias("a"))
     return clips.select("clip_id", (F.round(kernels.fused(F.col("t"), F.col("a")), 6) + F.lit(0.0)).alias("fused"))
 
 

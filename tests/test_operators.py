@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cliploom import config, edge
 from cliploom.functions import kernels
 from cliploom.operators import calibrate, captions, frames, ordered, partition, progress, records, scenes, select, skew, windows
-from cliploom.plans import pipeline
+from cliploom.plans import pipeline, selection
 from cliploom.sinks import metadata as sink
 from cliploom.streaming import ingest
 
@@ -311,3 +311,14 @@ def test_parse_generic_response_reads_every_caption(spark, tmp_path):
         return t.strip() or None
 
     assert {i: got.get(i, "no row") for i, _ in rows} == {i: brute(i, t) for i, t in rows}
+
+
+def test_rows_without_a_valid_branch_or_frame_rate_stay(spark, tmp_path):
+    rows = [(1, 25.0, {"dover": 0.5, "dover_tech": math.nan}), (2, 0.0, {"dover": math.nan}), (3, None, {"dover": 0.5}), (4, -1.0, None)]
+    df = spark.createDataFrame(rows, "clip_id bigint, fps double, scores map<string,double>").selectExpr("*", "300 as total_frames", "64 as width", "64 as height")
+    df.write.parquet(f"{tmp_path}/clip_results.parquet")
+    fused = {r.clip_id: r.fused for r in selection.fused_score(spark, str(tmp_path)).collect()}
+    assert sorted(fused) == [1, 2, 3, 4] and math.isnan(fused[1]) and math.isnan(fused[2]) and fused[3] == 0.5 and fused[4] is None
+    got = pipeline.scene_windows(spark, str(tmp_path)).collect()
+    assert sorted((r.clip_id, r.scene, r.num_windows) for r in got if r.clip_id == 1) == [(1, 0, 7), (1, 1, 2)]
+    assert sorted(tuple(r) for r in got if r.clip_id != 1) == [(i, None, None, None, None) for i in (2, 3, 4)]
