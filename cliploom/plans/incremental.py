@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cliploom.operators import merkle
-from cliploom.session import table
+from cliploom.session import shared_dir, table
 
 COMPARED = ["stage", "scored", "uploaded", "finished_at"]
 
@@ -23,17 +25,20 @@ def recorded_states(spark: SparkSession, d: str) -> DataFrame:
     return merkle.latest(rows, ["shard"], ["run_id"])
 
 
+def changed_states(spark: SparkSession, d: str) -> DataFrame:
+    """New, changed and deleted shards against a store that begins with what successful runs have recorded."""
+    store = merkle.MerkleStore(spark, f"{shared_dir(spark)}/cliploom/states-{uuid.uuid4().hex}", ["shard"], COMPARED)
+    store.bootstrap(recorded_states(spark, d))
+    return store.changes(current_states(spark, d)).where(F.col(merkle.KIND) != "deleted")
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return merkle.changed_records(current_states(spark, d), recorded_states(spark, d), ["shard"], COMPARED).select("shard")
+    return changed_states(spark, d).select("shard")
 
 
 def p1_change_kinds(spark: SparkSession, d: str) -> DataFrame:
     """How many of the shards to process are new, and how many changed, by current stage."""
-    old = recorded_states(spark, d)
-    found = merkle.changed_records(current_states(spark, d), old, ["shard"], COMPARED)
-    known = old.select("shard", F.lit(True).alias("known"))
-    kind = F.when(F.col("known"), "changed").otherwise("new")
-    return found.join(known, "shard", "left").groupBy("stage", kind.alias("kind")).agg(F.count(F.lit(1)).alias("shards"))
+    return changed_states(spark, d).groupBy("stage", F.col(merkle.KIND).alias("kind")).agg(F.count(F.lit(1)).alias("shards"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_change_kinds": p1_change_kinds}
