@@ -3,7 +3,7 @@
 Scores are coded as 24-bit integers that preserve order (the leading bits of the IEEE form, infinities included). A
 source's codes are counted in a dyadic tree that is stored as rows (source, name, page, n, nodes): a page is the upper 12
 bits of the code, ``nodes`` holds the counts of every non-empty node of the 12 levels below. Counts of the same node add
-up, so a batch joins a stored tree by addition. To find the record of a target rank the descent picks the page, then the
+up, so a batch joins a stored tree by addition, and records that are replaced leave it by subtraction (:class:`TreeStore`). To find the record of a target rank the descent picks the page, then the
 branch at each level, and ends in a leaf with the rank left inside it; only the leaf's records are read again, counted by
 distinct score, to give the exact cutoff. A page has at most 8191 nodes however many records it counts, so no source,
 not even one with most of the rows, makes a large task.
@@ -18,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cliploom.operators.versions import Versions
 from cliploom.session import write_table
 
 CODE_BITS, PAGE_BITS = 24, 12
@@ -29,6 +30,10 @@ LEVELS = CODE_BITS - PAGE_BITS
 #: Cutoff rows that are broadcast at most; beyond it the same join is a shuffle join.
 BROADCAST_ROWS = 200_000
 NODES = T.ArrayType(T.StructType([T.StructField("node", T.IntegerType()), T.StructField("n", T.LongType())]))
+TREE = T.StructType([
+    T.StructField("source", T.StringType()), T.StructField("name", T.StringType()), T.StructField("page", T.IntegerType()),
+    T.StructField("n", T.LongType()), T.StructField("nodes", NODES),
+])
 PLACE = T.StructType([T.StructField("leaf", T.IntegerType()), T.StructField("rank", T.LongType())])
 
 
@@ -91,18 +96,40 @@ def _descend(nodes: pa.Array, ranks: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array((at - (1 << LEVELS)).astype(np.int32)), pa.array(left)], ["leaf", "rank"])
 
 
-def coded(scores: DataFrame) -> DataFrame:
-    """Valid rows of (source, name, id, value) with their code; other columns are left out."""
-    valid = scores.select(*[c for c in ("source", "name", "id", "value") if c in scores.columns]).where("source is not null and name is not null and value is not null and not isnan(value)")
+def coded(scores: DataFrame, *others: str) -> DataFrame:
+    """Valid rows of (source, name, id, value) with their code; columns but these and ``others`` are left out."""
+    valid = scores.select(*[c for c in ("source", "name", "id", "value") if c in scores.columns], *others)
+    valid = valid.where("source is not null and name is not null and value is not null and not isnan(value)")
     return valid.withColumn("code", _code("value"))
 
 
-def build_tree(scores: DataFrame) -> DataFrame:
+@F.arrow_udf(NODES)
+def _sum_nodes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Sum of several node lists of a page; nodes whose count has become 0 are left out."""
+    for batch in batches:
+        outer, inner = np.asarray(batch.value_lengths()).astype(np.int64), batch.flatten()
+        row = np.repeat(np.repeat(np.arange(len(batch)), outer), np.asarray(inner.value_lengths()))
+        items = inner.flatten()
+        node, n = np.asarray(items.field("node")).astype(np.int64), np.asarray(items.field("n")).astype(np.int64)
+        order = np.lexsort((node, row))
+        row, node, n = row[order], node[order], n[order]
+        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (node[1:] != node[:-1])]) if len(row) else np.empty(0, int)
+        n = np.add.reduceat(n, first) if len(row) else n
+        if (n < 0).any():
+            raise ValueError("more records are taken out of a count tree than it counts")
+        row, node, n = row[first][n != 0], node[first][n != 0], n[n != 0]
+        offsets = np.searchsorted(row, np.arange(len(batch) + 1)).astype(np.int32)
+        yield pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(node.astype(np.int32)), pa.array(n)], ["node", "n"]))
+
+
+def build_tree(scores: DataFrame, weight: str | None = None) -> DataFrame:
     """Count tree of a batch (source, name, value): (source, name, page, n, nodes).
 
     Leaves are counted with map-side combining over (source, name, code), so a hot source is spread over all tasks.
+    ``weight`` names a column of 1 for records that are added and -1 for ones taken out; such a tree is a change only.
     """
-    leaves = coded(scores).groupBy("source", "name", "code").agg(F.count(F.lit(1)).alias("n"))
+    rows = coded(scores) if weight is None else coded(scores, weight)
+    leaves = rows.groupBy("source", "name", "code").agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n")).where("n <> 0")
     leaf = F.struct(F.col("code").bitwiseAND((1 << LEVELS) - 1).alias("leaf"), F.col("n").alias("n"))
     pages = leaves.groupBy("source", "name", F.shiftright("code", LEVELS).alias("page"))
     pages = pages.agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(leaf)).alias("leaves"))
@@ -110,11 +137,39 @@ def build_tree(scores: DataFrame) -> DataFrame:
 
 
 def add_batch(tree: DataFrame, batch: DataFrame) -> DataFrame:
-    """The tree with the node counts of another batch's tree added."""
-    parts = tree.unionByName(batch).select("source", "name", "page", F.inline("nodes"))
-    summed = parts.groupBy("source", "name", "page", "node").agg(F.sum("n").alias("n"))
-    pages = summed.groupBy("source", "name", "page").agg(F.sort_array(F.collect_list(F.struct(F.col("node").cast("int").alias("node"), "n"))).alias("nodes"))
-    return pages.select("source", "name", "page", F.element_at("nodes", 1)["n"].alias("n"), "nodes")
+    """The tree with the node counts of another batch's tree (or change) added; a page is one row of each."""
+    both = tree.unionByName(batch).groupBy("source", "name", "page").agg(F.sum("n").alias("n"), F.collect_list("nodes").alias("l"))
+    return both.where("n <> 0").select("source", "name", "page", "n", _sum_nodes("l").alias("nodes"))
+
+
+class TreeStore:
+    """A count tree kept in versions of a folder, brought up to date by batches.
+
+    A batch names the records that are added and those that are taken out (the old version of a record scored again), so
+    counts follow the current records without reading any that haven't changed. Versions are committed by a pointer: a
+    batch whose run dies has no effect.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.versions = spark, Versions(spark, path)
+
+    def tree(self) -> DataFrame | None:
+        """The tree of the newest version."""
+        m = self.versions.head()
+        return None if m is None else self.spark.read.schema(TREE).parquet(f"{self.versions.path}/{m['tree']}")
+
+    def apply(self, added: DataFrame, removed: DataFrame | None = None) -> int:
+        """Count ``added`` (source, name, value) in and ``removed`` out; returns the version committed."""
+        m = self.versions.head() or {"version": 0}
+        columns = ["source", "name", "value"]
+        rows = added.select(*columns, F.lit(1).alias("__w"))
+        if removed is not None:
+            rows = rows.unionByName(removed.select(*columns, F.lit(-1).alias("__w")))
+        batch, old = build_tree(rows, None if removed is None else "__w"), self.tree()
+        folder = self.versions.attempt()
+        (batch if old is None else add_batch(old, batch)).write.parquet(f"{self.versions.path}/{folder}")
+        self.versions.commit(m["version"] + 1, {"tree": folder})
+        return m["version"] + 1
 
 
 def target_leaves(tree: DataFrame, targets: DataFrame) -> DataFrame:

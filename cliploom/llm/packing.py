@@ -14,11 +14,10 @@ repeated rows with the same id are packed as separate items of that id.
 
 from __future__ import annotations
 
+import bisect
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,50 +25,64 @@ from pyspark.sql import types as T
 
 from cliploom.session import write_table
 
-#: Unused space the combinations may leave, as a share of the capacity; combinations enumerated at most; solver steps.
-WINDOW, MAX_COMBINATIONS, STEPS = 0.01, 6000, 400
+#: Unused space the combinations may leave, as a share of the capacity; combinations led by a length; solver steps; pairs
+#: of lengths tried for an exact filling.
+WINDOW, PER_LENGTH, STEPS, TRIES = 0.01, 3, 200, 64
 #: Items numbered within one bucket.
 ROWS_PER_BUCKET = 50_000
 Plan = list[tuple[tuple[tuple[int, int], ...], int]]
 
 
-def combinations(histogram: dict[int, int], capacity: int, window: float = WINDOW, limit: int = MAX_COMBINATIONS) -> list[dict[int, int]]:
+def combinations(histogram: dict[int, int], capacity: int, window: float = WINDOW, per_length: int = PER_LENGTH) -> list[dict[int, int]]:
     """Combinations of up to three distinct lengths that fill the capacity but for the window.
 
     A leading length is repeated one to four times, a middle one once or not at all, and a closing length, repeated as
-    often as it fits, brings the sum into the window.
+    often as it fits, brings the sum into the window. Of those that a length leads, the ``per_length`` fullest are taken,
+    equally full ones in an order that differs from length to length; so their number is in proportion to the lengths'.
     """
-    lengths = np.array(sorted(histogram), dtype=np.int64)
-    slack = max(1, int(window * capacity))
-    lengths = lengths[lengths <= capacity]
+    lengths = np.array(sorted(k for k in histogram if k <= capacity), dtype=np.int64)
     if not len(lengths):
         return []
+    slack = max(1, int(window * capacity))
     weight = np.array([histogram[int(x)] for x in lengths], dtype=np.float64) * lengths
-    per_lead = max(2, limit // max(1, len(lengths)))
     # Middle lengths are those at even steps of the total length, so heavy parts of the histogram get more of them.
     steps = np.interp(np.linspace(0, weight.sum(), 14)[1:-1], np.cumsum(weight), lengths)
     middles = [0, *dict.fromkeys(int(x) for x in lengths[np.clip(np.searchsorted(lengths, steps), 0, len(lengths) - 1)])]
+    found = []
+    for times in range(1, 5):
+        for middle in middles:
+            room = capacity - lengths * times - middle
+            ok = (room >= 0) & (middle <= lengths)
+            for copies in (0, 1, 2, 3, 5, 8):
+                if copies:
+                    at = np.searchsorted(lengths, room // copies, "right") - 1
+                    close = np.where(at >= 0, lengths[np.maximum(at, 0)], 0)
+                    unused = room - close * copies
+                    good = ok & (room > 0) & (at >= 0) & (unused <= slack)
+                else:
+                    close, unused, good = np.zeros_like(lengths), room, ok & (room <= slack)
+                i = np.flatnonzero(good)
+                found.append(np.column_stack([i, unused[i], lengths[i], np.full(len(i), times), np.full(len(i), middle), close[i], np.full(len(i), copies)]))
+    every = np.concatenate(found)
+    turn = (every[:, 0] * 2654435761 + every[:, 3] * 40503 + every[:, 4] * 65599 + every[:, 6] * 97) & 0xFFFF
+    every = every[np.lexsort((turn, every[:, 1], every[:, 0]))]
+    # The same filling comes up in at most a few ways, so a few times as many are looked at.
+    place = np.arange(len(every)) - np.searchsorted(every[:, 0], every[:, 0])
+    every = every[place < 4 * per_length]
     seen: dict[tuple, dict[int, int]] = {}
-    for lead in lengths[::-1]:
-        made = 0
-        for times in range(1, min(4, capacity // int(lead)) + 1):
-            for middle in middles:
-                room = capacity - int(lead) * times - middle
-                if room < 0 or middle > lead:
-                    continue
-                found = []
-                if room <= slack:
-                    found.append(Counter())
-                for copies in (1, 2, 3, 5, 8):
-                    at = int(np.searchsorted(lengths, room // copies, "right")) - 1
-                    if room and at >= 0 and room - int(lengths[at]) * copies <= slack:
-                        found.append(Counter({int(lengths[at]): copies}))
-                for close in found:
-                    c = close + Counter({int(lead): times}) + (Counter({middle: 1}) if middle else Counter())
-                    key = tuple(sorted(c.items()))
-                    if key not in seen and made < per_lead:
-                        seen[key] = dict(c)
-                        made += 1
+    made: Counter = Counter()
+    for i, _, lead, times, middle, close, copies in every.tolist():
+        if made[i] == per_length:
+            continue
+        c = {lead: times}
+        if middle:
+            c[middle] = c.get(middle, 0) + 1
+        if copies:
+            c[close] = c.get(close, 0) + copies
+        key = tuple(sorted(c.items()))
+        if key not in seen:
+            seen[key] = c
+            made[i] += 1
     return list(seen.values())
 
 
@@ -124,17 +137,37 @@ def plan(histogram: dict[int, int], capacity: int) -> Plan:
     return out
 
 
-def _closing(lengths: list[int], left: dict[int, int], room: int) -> list[int] | None:
-    """One or two lengths still there that fill ``room`` exactly, if any."""
-    if left.get(room, 0):
-        return [room]
-    for k in lengths:
-        rest = room - k
-        if k <= rest and left.get(k, 0) and left.get(rest, 0) >= 1 + (k == rest):
-            return [rest, k]
-        if k > rest:
-            break
-    return None
+class _Left:
+    """What is left of a histogram: finds the greatest length up to a bound that is still there, used-up ones skipped."""
+
+    def __init__(self, left: dict[int, int]):
+        self.lengths = sorted(left)
+        self.count = dict(left)
+        self.before = list(range(-1, len(self.lengths)))  # [i + 1] leads towards the nearest length that is there
+
+    def upto(self, room: int) -> int:
+        """The greatest length of at most ``room``; 0 if there is none."""
+        i = bisect.bisect_right(self.lengths, room)
+        path = []
+        while i and not self.count[self.lengths[i - 1]]:
+            path.append(i)
+            i = self.before[i] + 1 if self.before[i] < i - 1 else i - 1
+        for j in path:
+            self.before[j] = i - 1
+        return self.lengths[i - 1] if i else 0
+
+    def closing(self, room: int) -> list[int] | None:
+        """One or two lengths that fill ``room`` exactly, if they are found among the longest."""
+        if self.count.get(room, 0):
+            return [room]
+        k = self.upto(room - 1)
+        for _ in range(TRIES):
+            if 2 * k < room or not k:
+                return None
+            if self.count.get(room - k, 0) > (2 * k == room):
+                return [k, room - k]
+            k = self.upto(k - 1)
+        return None
 
 
 def _greedy(left: dict[int, int], capacity: int) -> Plan:
@@ -144,30 +177,26 @@ def _greedy(left: dict[int, int], capacity: int) -> Plan:
     of lengths, not of items.
     """
     out: Plan = []
-    while left:
-        lengths = sorted(left)
+    rest = _Left(left)
+    while (k := rest.upto(capacity)):
         used: Counter = Counter()
         room = capacity
-        for k in reversed(lengths):
-            while k <= room and used[k] < left[k]:
-                used[k] += 1
-                room -= k
-                if room:
-                    free = {i: left[i] - used[i] for i in lengths if i <= room}
-                    if (last := _closing([i for i in lengths if i <= room], free, room)) is not None:
-                        used.update(last)
-                        room = 0
-                if not room:
-                    break
+        while k:
+            used[k] += 1
+            rest.count[k] -= 1
+            room -= k
             if not room:
                 break
-        used = +used
-        times = min(left[k] // m for k, m in used.items())
-        out.append((tuple(sorted(used.items())), times))
-        for k, m in used.items():
-            left[k] -= m * times
-            if not left[k]:
-                del left[k]
+            if (last := rest.closing(room)) is not None:
+                for x in last:
+                    used[x] += 1
+                    rest.count[x] -= 1
+                break
+            k = rest.upto(room)
+        more = min(rest.count[x] // m for x, m in used.items())
+        for x, m in used.items():
+            rest.count[x] -= m * more
+        out.append((tuple(sorted(used.items())), 1 + more))
     return out
 
 

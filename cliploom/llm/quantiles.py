@@ -1,12 +1,13 @@
 """Percentiles of large numeric columns with tracked, bounded rank error, combinable across partitions and days.
 
 A summary of n values is a short list of values, each with an interval (lo, hi) that certainly holds its rank among the
-n. A small group's summary is exact. A larger one keeps ``size`` values at evenly spaced ranks. Merging two summaries
-adds up the rank intervals; the result is thinned again, and since intervals are carried along, the accumulated error
-is known exactly rather than estimated. Many summaries merge in rounds of ``FAN_IN``. Everything is deterministic.
+n. It is compressed by the permitted uncertainty: a value is left out as long as the ranks from the last value kept to
+the next one stay within twice the permitted error. Merging two summaries adds up the rank intervals, so the accumulated
+error is known exactly rather than estimated. Everything is deterministic.
 
-With summaries of at most SIZE values each thinning adds a rank error of n / (2 * SIZE) at most, so one from a
-partition and r merge rounds stay within (1 + r) / (2 * SIZE) of n.
+The permitted error is a share of n (ERROR unless given). A summary that is final at once is compressed to it. Partial
+summaries are compressed to a part of it, and each round of merging, of FAN_IN summaries at a time, is permitted as much
+again, so that the last round ends within the whole. How many rounds follows from the number of partial summaries.
 
 Cases: null and NaN values and null groups aren't counted; infinite values are; repeated values each count; an empty
 table has no summaries; a percentile q of n values is the value of rank max(1, ceil(q * n)).
@@ -14,6 +15,7 @@ table has no summaries; a percentile q of n values is the value of rank max(1, c
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -22,8 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Values a summary keeps at most, summaries merged in one step, and values a task holds before it writes summaries.
-SIZE, FAN_IN, BUFFER = 400, 8, 2_000_000
+from cliploom.session import write_table
+
+#: Permitted rank error as a share of n, summaries merged in one step, and values a task holds before it writes summaries.
+ERROR, FAN_IN, BUFFER = 0.00125, 8, 2_000_000
 
 SUMMARY = T.StructType([
     T.StructField("n", T.LongType()),
@@ -43,18 +47,24 @@ def exact(values: np.ndarray) -> Summary:
     return len(v), v, r, r
 
 
-def thin(s: Summary, size: int = SIZE) -> Summary:
-    """At most ``size`` of the values, nearest to evenly spaced ranks; first and last always stay."""
+def thin(s: Summary, permitted: float = ERROR) -> Summary:
+    """The values needed for a rank error of ``permitted`` * n at most; first and last always stay.
+
+    Where a merge has left wider intervals than that, nothing is left out.
+    """
     n, v, lo, hi = s
-    if len(v) <= size:
+    gap = int(2 * permitted * n)
+    if gap < 2 or len(v) <= 2:
         return s
-    middle = np.maximum.accumulate((lo + hi) / 2)
-    wanted = 1 + np.arange(size) * ((n - 1) / (size - 1))
-    at = np.clip(np.searchsorted(middle, wanted), 1, len(v) - 1)
-    at = np.where(wanted - middle[at - 1] <= middle[at] - wanted, at - 1, at)
-    at[0], at[-1] = 0, len(v) - 1
-    at = np.unique(at)
-    return n, v[at], lo[at], hi[at]
+    if len(v) == n:  # every rank is known
+        at = np.r_[np.arange(0, n - 1, gap), n - 1]
+        return n, v[at], lo[at], hi[at]
+    reach = np.searchsorted(np.maximum.accumulate(hi), lo + gap, "right") - 1
+    i, last, kept = 0, len(v) - 1, [0]
+    while i < last:
+        i = min(max(i + 1, int(reach[i])), last)
+        kept.append(i)
+    return n, v[kept], lo[kept], hi[kept]
 
 
 def _shift(own: Summary, other: Summary, side: str) -> tuple[np.ndarray, np.ndarray]:
@@ -111,20 +121,23 @@ def _read(items: pa.StructArray) -> list[Summary]:
     return [(int(k), v, lo, hi) for k, v, lo, hi in zip(n, *cols)]
 
 
-@F.arrow_udf(SUMMARY)
-def _merge_lists(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        summaries, sizes, out, at = _read(batch.flatten()), np.asarray(batch.value_lengths()), [], 0
-        for k in sizes:
-            todo = summaries[at : at + k]
-            at += k
-            while len(todo) > 1:  # pairwise, so errors add up along the depth only
-                todo = [merge(*todo[i : i + 2]) if i + 1 < len(todo) else todo[i] for i in range(0, len(todo), 2)]
-            out.append(thin(todo[0]))
-        yield _array(out)
+def _merge_lists(permitted: float):
+    @F.arrow_udf(SUMMARY)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            summaries, sizes, out, at = _read(batch.flatten()), np.asarray(batch.value_lengths()), [], 0
+            for k in sizes:
+                todo = summaries[at : at + k]
+                at += k
+                while len(todo) > 1:
+                    todo = [merge(*todo[i : i + 2]) if i + 1 < len(todo) else todo[i] for i in range(0, len(todo), 2)]
+                out.append(thin(todo[0], permitted) if k > 1 else todo[0])
+            yield _array(out)
 
+    return run
 
-def _summaries(keys: list[str], names: list[str]):
+
+def _summaries(keys: list[str], names: list[str], permitted: float, whole: float):
     """mapInArrow function: summaries of each key and score column in a task's rows."""
 
     def emit(table: pa.Table, part: int, partial: bool) -> Iterator[pa.RecordBatch]:
@@ -141,7 +154,10 @@ def _summaries(keys: list[str], names: list[str]):
             g, v = g[order], v[order]
             starts = np.flatnonzero(np.r_[True, g[1:] != g[:-1]]) if len(g) else np.empty(0, int)
             ends = np.r_[starts[1:], len(g)] if len(g) else starts
-            found = [thin((b - a, v[a:b], np.arange(1, b - a + 1), np.arange(1, b - a + 1))) for a, b in zip(starts, ends)]
+            salts = np.asarray(labels.column("salt")) if "salt" in keys else None
+            final = lambda g: salts is not None and not partial and not salts[g]
+            ranks = np.arange(1, int((ends - starts).max(initial=0)) + 1)
+            found = [thin((b - a, v[a:b], ranks[: b - a], ranks[: b - a]), whole if final(k) else permitted) for a, b, k in zip(starts, ends, g[starts])]
             for i in range(0, len(found), 5000):
                 some = labels.take(pa.array(g[starts[i : i + 5000]])).combine_chunks()
                 m = some.num_rows
@@ -163,41 +179,48 @@ def _summaries(keys: list[str], names: list[str]):
     return run
 
 
-def summarise(rows: DataFrame, keys: list[str], names: list[str], salt: str | None = None) -> DataFrame:
+def summarise(rows: DataFrame, keys: list[str], names: list[str], salt: str | None = None, permitted: float = ERROR / 4, whole: float = ERROR) -> DataFrame:
     """(keys, name, part, partial, s): summaries of the columns ``names`` by ``keys`` in each task of ``rows``.
 
-    ``salt``: integer column; 0 says that all rows of the key lie in this task, so its only summary is whole.
-    ``partial`` rows still have to be merged.
+    ``salt``: name of an integer column; 0 says that all rows of the key lie in this task, so its only summary is whole
+    and may have the error ``whole``. ``partial`` rows still have to be merged; they have the error ``permitted``.
     """
     schema = T.StructType([*[rows.schema[k] for k in keys], T.StructField("name", T.StringType()), T.StructField("part", T.IntegerType()), T.StructField("partial", T.BooleanType()), T.StructField("s", SUMMARY)])
     if salt is None:
-        return rows.select(*keys, *names).mapInArrow(_summaries(keys, names), schema).withColumn("partial", F.lit(True))
+        return rows.select(*keys, *names).mapInArrow(_summaries(keys, names, permitted, whole), schema).withColumn("partial", F.lit(True))
     inner = T.StructType([schema[0], *schema.fields[1 : len(keys)], T.StructField(salt, T.IntegerType()), *schema.fields[len(keys) :]])
-    found = rows.select(*keys, salt, *names).mapInArrow(_summaries([*keys, salt], names), inner)
+    found = rows.select(*keys, salt, *names).mapInArrow(_summaries([*keys, salt], names, permitted, whole), inner)
     return found.select(*keys, "name", (F.col(salt) * 1000 + F.col("part")).cast("int").alias("part"), (F.col("partial") | (F.col(salt) > 0)).alias("partial"), "s")
 
 
-def merge_summaries(parts: DataFrame, keys: list[str], rounds: int = 2) -> DataFrame:
-    """(keys, s): merge the summaries of each key hierarchically.
+def rounds_for(parts: int) -> int:
+    """Rounds of merging FAN_IN at a time that ``parts`` summaries of a key need."""
+    return max(1, math.ceil(math.log(max(parts, 1), FAN_IN) - 1e-9))
 
-    Each round merges up to FAN_IN summaries of a key in one place, spread over tasks by a hash of ``part``, so even a
-    key with a summary from every partition never lies in one task whole before the last round. ``rounds`` should be
-    about log(parts of a key) / log(FAN_IN); the last takes what is left.
-    """
-    spread = F.pmod(F.xxhash64("part"), F.lit(FAN_IN**9))
-    rows = parts.select(*keys, spread.alias("slot"), "s")
-    for r in range(rounds - 1):
-        slots = FAN_IN ** (rounds - 1 - r)
-        rows = rows.groupBy(*keys, (F.col("slot") % slots).alias("slot")).agg(F.collect_list("s").alias("l"))
-        rows = rows.select(*keys, "slot", _merge_lists("l").alias("s"))
-    return rows.groupBy(*keys).agg(F.collect_list("s").alias("l")).select(*keys, _merge_lists("l").alias("s"))
 
+def merge_summaries(parts: DataFrame, keys: list[str], rounds: int | None = None, have: float = ERROR / 4, error: float = ERROR) -> DataFrame:
+    """(keys, s): merge the summaries of each key hierarchically, from the error ``have`` of each to ``error``.
 
-def hot_keys(rows: DataFrame, key: str, share: int = 64) -> list:
-    """Keys with more than 1/``share`` of all rows: at most ``share`` values, counted with map-side combining."""
+    Each round merges about FAN_IN summaries of a key in one place, spread over tasks by a hash of ``part``, and is
+    compressed at once, so even a key with a summary from every partition never lies in one task whole. Without
+    ``rounds`` they follow from the greatest number of summaries of a key; ``parts`` should then be a written table.
+    """
+    if rounds is None:
+        most = parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0]
+        rounds = rounds_for(most or 1)
+    rows = parts.select(*keys, F.pmod(F.xxhash64("part"), F.lit(1 << 40)).alias("slot"), "s")
+    for r in range(rounds):
+        by = [(F.col("slot") % FAN_IN ** (rounds - 1 - r)).alias("slot")] if r < rounds - 1 else []
+        rows = rows.groupBy(*keys, *by).agg(F.collect_list("s").alias("l"))
+        rows = rows.select(*keys, *(["slot"] if by else []), _merge_lists(have + (error - have) * (r + 1) / rounds)("l").alias("s"))
+    return rows
+
+
+def hot_keys(rows: DataFrame, key: str, share: int = 64) -> dict:
+    """Keys with more than 1/``share`` of all rows and their rows: at most ``share`` keys, counted with map-side combining."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return [r[0] for r in counts.where((F.col("n") * share > total) & F.col(key).isNotNull()).select(key).collect()]
+    return {r[0]: r[1] for r in counts.where((F.col("n") * share > total) & F.col(key).isNotNull()).select(key, "n").collect()}
 
 
 def salted(rows: DataFrame, key: str, hot: list, by: list[str], salts: int) -> DataFrame:
@@ -206,18 +229,23 @@ def salted(rows: DataFrame, key: str, hot: list, by: list[str], salts: int) -> D
     return rows.withColumn("salt", salt.cast("int")).repartition(F.col(key), F.col("salt"))
 
 
-def grouped_summaries(rows: DataFrame, key: str, names: list[str], by: list[str], distinct: bool = True, salts: int = 64) -> DataFrame:
-    """(key, name, s): one summary per key and score column, over rows counted once per (key, ``by``).
+def grouped_summaries(rows: DataFrame, key: str, names: list[str], by: list[str], distinct: bool = True, salts: int | None = None, error: float = ERROR) -> DataFrame:
+    """(key, name, s): one summary per key and score column, over rows counted once per (key, ``by``), within ``error``.
 
-    Rows are partitioned by key, hot keys salted; summaries of unsalted keys are final at once and aren't shuffled.
+    Rows are partitioned by key, hot keys salted, so that a salt has about as many values as a task holds; summaries of
+    unsalted keys are final at once and aren't shuffled.
     """
     rows = rows.where(F.col(key).isNotNull()).select(*dict.fromkeys([key, *by, *names]))
-    placed = salted(rows, key, hot_keys(rows, key), by, salts)
+    hot = hot_keys(rows, key)
+    if salts is None:
+        salts = max(FAN_IN, -(-max(hot.values(), default=0) * len(names) // BUFFER))
+    placed = salted(rows, key, list(hot), by, salts)
     if distinct:
         placed = placed.groupBy(key, "salt", *by).agg(*[F.max(c).alias(c) for c in names])
-    parts = summarise(placed, [key], names, "salt")
+    have = error / 4
+    parts = write_table(summarise(placed, [key], names, "salt", have, error), "summaries")
     whole = parts.where("not partial").select(key, "name", "s")
-    return whole.unionByName(merge_summaries(parts.where("partial"), [key, "name"]))
+    return whole.unionByName(merge_summaries(parts.where("partial"), [key, "name"], None, have, error))
 
 
 def percentiles(summaries: DataFrame, qs: Sequence[float]) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import functools
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cliploom.llm import abuse, clips, cutoffs, packing, quantiles, rank_fusion, tokens, truncation
 from cliploom.operators import calibrate
-from cliploom.session import table, write_table
+from cliploom.session import shared_dir, table, write_table
 
 TOKENIZER = "byte_bpe_50k"
 #: The four scores that p2 ranks clips by.
@@ -22,26 +23,49 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", tokens.token_ids(spark, F.col("text"), TOKENIZER).alias("ids"))
 
 
-def shard_scores(spark: SparkSession, d: str) -> DataFrame:
-    """(source, name, id, value): valid scores of current versions by non-null shard, written once."""
+def _current_and_before(spark: SparkSession, d: str, landed: Column | None) -> tuple[DataFrame, list[str]]:
+    """(clip_id, now, before, touched), written once: the current version of each clip; the one before the rows with
+    ``landed`` came; whether any of them is the clip's. Without ``landed`` all rows come at once."""
     names = [r["name"] for r in table(spark, d, "keep_targets").select("name").distinct().collect()]  # configuration
-    columns = {"shard": F.col("shard")} | {f"s_{m}": clips.score(m) for m in names}
-    rows = clips.current_versions(table(spark, d, "clip_results"), columns).where("shard is not null")
-    rows = write_table(rows, "current-scores")
-    return clips.long_scores(rows, [F.col("shard").alias("source"), F.col("clip_id").alias("id")], names)
+    row = F.struct(F.col("scored_at").alias("__at"), "shard", *[clips.score(m).alias(f"s_{m}") for m in names])
+    late = F.lit(True) if landed is None else F.coalesce(landed, F.lit(False))
+    picked = table(spark, d, "clip_results").select("clip_id", row.alias("row"), late.alias("late"))
+    both = picked.groupBy("clip_id").agg(F.max("row").alias("now"), F.max(F.when(~F.col("late"), F.col("row"))).alias("before"), F.bool_or("late").alias("touched"))
+    return write_table(both, "current-scores"), names
+
+
+def _valid(rows: DataFrame, version: str, names: list[str]) -> DataFrame:
+    """(source, name, id, value): valid scores of a version by non-null shard."""
+    flat = rows.select(F.col("clip_id").alias("id"), F.col(f"{version}.shard").alias("source"), *[F.col(f"{version}.s_{m}").alias(f"s_{m}") for m in names])
+    return clips.long_scores(flat.where("source is not null"), ["source", "id"], names)
+
+
+def _tree_store(spark: SparkSession) -> cutoffs.TreeStore:
+    return cutoffs.TreeStore(spark, f"{shared_dir(spark)}/cliploom/cutoffs-{uuid.uuid4().hex}")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    _, at = cutoffs.cutoffs(shard_scores(spark, d), table(spark, d, "keep_targets"))
+    rows, names = _current_and_before(spark, d, None)
+    scores, store = _valid(rows, "now", names), _tree_store(spark)
+    store.apply(scores)
+    _, at = cutoffs.cutoffs(scores, table(spark, d, "keep_targets"), store.tree())
     return at.select(F.col("source").alias("shard"), "name", F.col("id").alias("clip_id"))
 
 
 def p3_cutoffs(spark: SparkSession, d: str) -> DataFrame:
-    """Cutoff and kept size of each shard and model, beside the fixed threshold and what it keeps."""
-    scores = shard_scores(spark, d)
-    cut, _ = cutoffs.cutoffs(scores, table(spark, d, "keep_targets"))
+    """Cutoff and kept size of each shard and model, beside the fixed threshold and what it keeps.
+
+    The tree is stored from the rows landed in the first half of the time and brought up to date by a second batch, in
+    which the new versions of clips scored again are counted in and their old ones out.
+    """
+    half = table(spark, d, "clip_results").agg(F.expr("timestampadd(SECOND, timestampdiff(SECOND, min(landed_at), max(landed_at)) div 2, min(landed_at))").alias("t")).first()["t"]
+    rows, names = _current_and_before(spark, d, F.col("landed_at") > F.lit(half) if half else None)
+    scores, store = _valid(rows, "now", names), _tree_store(spark)
+    store.apply(_valid(rows.where("before is not null"), "before", names))
+    store.apply(_valid(rows.where("touched"), "now", names), _valid(rows.where("touched and before is not null"), "before", names))
+    cut, _ = cutoffs.cutoffs(scores, table(spark, d, "keep_targets"), store.tree())
     fixed = table(spark, d, "score_models").groupBy("name").agg(F.max("threshold").alias("threshold"))
-    passed = scores.join(fixed, "name").groupBy("source", "name").agg(F.count_if(F.expr("value >= threshold")).alias("kept_by_threshold"))
+    passed = scores.join(F.broadcast(fixed), "name").groupBy("source", "name").agg(F.count_if(F.expr("value >= threshold")).alias("kept_by_threshold"))  # a row per model
     got = cut.join(fixed, "name", "left").join(passed, ["source", "name"], "left")
     return got.select(F.col("source").alias("shard"), "name", "n", "target", "cutoff", "kept", "at_cutoff", "threshold", "kept_by_threshold")
 
@@ -75,7 +99,7 @@ def p5_percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_within_bounds(spark: SparkSession, d: str) -> DataFrame:
-    """Whether each percentile's true rank lies within the stated error, and the stated error within 2 % of n."""
+    """Whether each percentile's true rank lies within the stated error, and the stated error within the permitted one."""
     rows, names = _version_scores(spark, d)
     got = p5_percentiles(spark, d).groupBy("shard", "name", "n", "value").agg(F.collect_list(F.struct("q", "rank_error")).alias("asked"))
     once = rows.where("shard is not null").groupBy("shard", "clip_id", "scored_at").agg(*[F.max(m).alias(m) for m in names])
@@ -86,7 +110,7 @@ def p5_within_bounds(spark: SparkSession, d: str) -> DataFrame:
     each = got.join(true, ["shard", "name", "value"], "left").select("*", F.inline("asked"))
     wanted = F.greatest(F.lit(1), F.ceil(F.col("q") * F.col("n")))
     miss = F.greatest(F.col("first") - wanted, wanted - F.col("last"), F.lit(0))
-    ok = F.coalesce((miss <= F.col("rank_error")) & (F.col("rank_error") <= F.greatest(F.lit(2.0), 0.02 * F.col("n"))), F.lit(False))
+    ok = F.coalesce((miss <= F.col("rank_error")) & (F.col("rank_error") <= quantiles.ERROR * F.col("n") + 1), F.lit(False))
     return each.select("shard", "name", "q", "n", ok.alias("within"))
 
 
@@ -95,9 +119,11 @@ def p5_days_combined(spark: SparkSession, d: str) -> DataFrame:
     rows, names = _version_scores(spark, d)
     rows = rows.where("shard is not null").withColumn("day", F.to_date("scored_at"))
     once = rows.groupBy("shard", "day", "clip_id", "scored_at").agg(*[F.max(m).alias(m) for m in names])
-    parts = quantiles.summarise(once, ["shard", "day"], names)
-    daily = quantiles.merge_summaries(parts, ["shard", "day", "name"])
-    total = quantiles.merge_summaries(daily.withColumnRenamed("day", "part"), ["shard", "name"])
+    # Tasks of (shard, day) groups: almost all of a group lies in one.
+    parts = write_table(quantiles.summarise(once, ["shard", "day"], names), "summaries")
+    half = quantiles.ERROR / 2
+    daily = write_table(quantiles.merge_summaries(parts, ["shard", "day", "name"], error=half), "daily-summaries")
+    total = quantiles.merge_summaries(daily.withColumnRenamed("day", "part"), ["shard", "name"], have=half)
     return quantiles.percentiles(total, [0.5])
 
 
@@ -157,6 +183,36 @@ def p7_usage(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p7_valid(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of any packing, counted for each budget from the documents and the containers."""
+    budgets = table(spark, d, "pack_budgets").distinct()
+    packed = write_table(p7_packed(spark, d).join(F.broadcast(budgets.select("budget_id", "capacity")), "budget_id"), "packed")  # three rows
+    by_doc = packed.groupBy("budget_id", "doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.count_distinct("piece").alias("different"), F.sum("n_tokens").alias("tokens"), F.max("capacity").alias("capacity"), F.min("n_tokens").alias("least"))
+    docs = table(spark, d, "documents").select("doc_id", (F.length(F.coalesce("text", F.lit(""))) > 0).alias("filled"))
+    each = docs.crossJoin(F.broadcast(budgets.select("budget_id"))).join(by_doc, ["budget_id", "doc_id"], "left")  # three rows
+    per = each.groupBy("budget_id").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(F.col("pieces").isNull()).alias("missing"), F.count_if(F.col("pieces") != F.col("different")).alias("repeated"),
+        F.count_if((F.col("pieces") > 1) & (F.col("tokens") <= F.col("capacity"))).alias("divided_without_need"),
+        F.count_if((F.col("tokens") > F.col("capacity")) & (F.col("pieces") != F.ceil(F.col("tokens") / F.col("capacity")))).alias("divided_too_often"),
+        F.count_if(F.col("filled") != (F.col("tokens") > 0)).alias("wrongly_empty"),
+    )
+    fill = packed.where("container is not null").groupBy("budget_id", "container").agg(F.sum("n_tokens").alias("fill"), F.max("capacity").alias("capacity"))
+    over = fill.groupBy("budget_id").agg(F.count_if(F.col("fill") > F.col("capacity")).alias("overfull"))
+    return per.join(over, "budget_id", "left").withColumn("overfull", F.coalesce("overfull", F.lit(0).cast("bigint")))
+
+
+def p4_rates_valid(spark: SparkSession, d: str) -> DataFrame:
+    """Values of each shard, provider and field by the rates, and whether cut values and share agree with them."""
+    ok = (F.col("n_cut") >= 0) & (F.col("n_cut") <= F.col("n_values")) & (F.abs(F.col("share") * F.col("n_values") - F.col("n_cut")) < 1e-6)
+    return p4_rates(spark, d).select("shard", "provider", "field_name", "n_values", ok.alias("ok"))
+
+
+def p8_rates_valid(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of each source by the rates, and whether flagged ones and rate agree with them."""
+    ok = (F.col("n_abusive") >= 0) & (F.col("n_abusive") <= F.col("n_documents")) & (F.abs(F.col("rate") * F.col("n_documents") - F.col("n_abusive")) < 1e-6)
+    return p8_rates(spark, d).select("source", "n_documents", ok.alias("ok"))
+
+
 def scored_documents(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "source", "text")
     return abuse.score_documents(docs, table(spark, d, "content_labels")).select("doc_id", "source", "score", "abusive")
@@ -185,6 +241,9 @@ QUERIES = {
     "p4_limits": p4_limits,
     "p7_packed": p7_packed,
     "p7_usage": p7_usage,
+    "p7_valid": p7_valid,
+    "p4_rates_valid": p4_rates_valid,
+    "p8_rates_valid": p8_rates_valid,
     "p2_found": p2_found,
     "p2_ranking": p2_ranking,
     "p3_found": p3_found,
@@ -212,13 +271,20 @@ _RANKS = _CURRENT + "w AS (SELECT clip_id, " + ", ".join(f"CASE WHEN NOT isnan(s
 ) + " FROM w),\nk AS (SELECT *, list_sort([" + ", ".join(f"rank_{m}" for m in _FOUR) + "]) AS l FROM r),\nf AS (SELECT clip_id, complete, (l[2] + l[3]) / 2 AS median_rank, (" + " + ".join(f"rank_{m}" for m in _FOUR) + ") / 4 AS mean_rank, " + ", ".join(f"rank_{m}" for m in _FOUR) + " FROM k)\n"
 _QS = ", ".join(f"({q})" for q in PERCENTILES)
 ORACLE = {
+    "p7_valid": """SELECT budget_id, documents, 0 AS missing, 0 AS repeated, 0 AS divided_without_need, 0 AS divided_too_often, 0 AS wrongly_empty, 0 AS overfull
+FROM (SELECT DISTINCT budget_id FROM pack_budgets), (SELECT count(*) AS documents FROM documents)""",
+    "p4_rates_valid": """
+WITH r AS (SELECT DISTINCT caption_id, shard, provider, caption, caption_visual FROM clip_captions),
+v AS (SELECT caption_id, shard, provider, 'caption' AS field_name, caption AS t FROM r UNION ALL SELECT caption_id, shard, provider, 'caption_visual', caption_visual FROM r)
+SELECT shard, provider, field_name, count(DISTINCT caption_id) AS n_values, true AS ok FROM v WHERE trim(t) <> '' GROUP BY ALL""",
+    "p8_rates_valid": "SELECT source, count(*) AS n_documents, true AS ok FROM documents GROUP BY source",
     "p2_ranking": _RANKS + "SELECT * FROM f",
     "p2_found": _RANKS + """
 SELECT panel_id, clip_id FROM (SELECT panel_id, clip_id, row_number() OVER (PARTITION BY panel_id ORDER BY median_rank, mean_rank, clip_id) AS p
   FROM (SELECT DISTINCT panel_id, clip_id FROM review_panels) JOIN f USING (clip_id) WHERE complete) WHERE p = 1""",
     "p5_within_bounds": f"""
 WITH e AS (SELECT shard, unnest(map_entries(scores)) AS x FROM (SELECT DISTINCT clip_id, scored_at, shard, scores FROM clip_results) WHERE shard IS NOT NULL),
-s AS (SELECT shard, x.key AS name, count(*) AS n FROM e WHERE x.value IS NOT NULL AND NOT isnan(x.value) AND x.key <> 'sanity' GROUP BY ALL)
+s AS (SELECT shard, x.key AS name, count(*) AS n FROM e WHERE x.value IS NOT NULL AND NOT isnan(x.value) GROUP BY ALL)
 SELECT shard, name, CAST(q AS DOUBLE) AS q, n, true AS within FROM s, (VALUES {_QS}) AS t(q)""",
     "p3_found": _LONG + "SELECT s.shard, s.name, s.clip_id FROM s JOIN c ON s.shard = c.shard AND s.name = c.name AND s.v = c.v",
     "p3_cutoffs": _LONG + """

@@ -4,7 +4,7 @@ Every item's rank in each score is computed, 1 the best, ties sharing the mean o
 weighted median of their ranks, then the mean rank, then the identifier, so no score counts more for having a wider
 range, a skewed distribution or outliers.
 
-Ranks of all rows are found without a global sort in one task: cut points from approximate quantiles divide each score
+Ranks of all rows are found without a global sort in one task: cut points from a sample's quantiles divide each score
 into intervals, whose exact counts give every interval's offset; only inside an interval are values sorted. A value
 that many rows share is always a cut point itself, and all rows at a cut point have the same rank, so they need no sort
 at all and no interval holds much more than its share, whatever the distribution.
@@ -29,15 +29,27 @@ from cliploom.session import write_table
 #: Rows an interval should hold, and the bounds of the number of intervals. Cut points and counts, all that reaches the
 #: driver, are at most 2 * MAX_INTERVALS + 1 numbers a score.
 ROWS_PER_INTERVAL, MIN_INTERVALS, MAX_INTERVALS = 100_000, 16, 32_768
+#: Sampled rows for each interval and at least, from which cut points are taken; they only divide the work.
+SAMPLED, LEAST_SAMPLED = 16, 4096
 
 
-def cut_points(rows: DataFrame, names: list[str], prefix: str) -> tuple[dict[str, np.ndarray], int]:
-    """Distinct approximate quantiles of each score, and the number of rows."""
+def cut_points(rows: DataFrame, id_column: str, names: list[str], prefix: str) -> tuple[dict[str, np.ndarray], int]:
+    """Distinct quantiles of a bounded sample of each score, and the number of rows.
+
+    The sample is taken by a hash of the id, so nothing is merged in one task. A value with an interval's share of all
+    rows or more is found in the sample many times over, so it becomes a cut point.
+    """
     n = rows.count()
     intervals = int(min(MAX_INTERVALS, max(MIN_INTERVALS, -(-n // ROWS_PER_INTERVAL))))
-    probabilities = F.array(*[F.lit(i / intervals) for i in range(1, intervals)])
-    found = rows.agg(*[F.percentile_approx(f"`{prefix}{c}`", probabilities, max(1000, 5 * intervals)).alias(f"q{i}") for i, c in enumerate(names)]).first()
-    return {c: np.unique(np.array(found[f"q{i}"] or [], dtype=np.float64)) for i, c in enumerate(names)}, n
+    wanted = max(LEAST_SAMPLED, SAMPLED * intervals)
+    some = rows.where(F.pmod(F.xxhash64(F.lit("cut"), F.col(id_column)), F.lit(1 << 32)) < int(min(1.0, wanted / max(n, 1)) * (1 << 32)))
+    # Twice the expected number is a bound only for ids that are not unique.
+    found = some.select(*[F.col(f"`{prefix}{c}`").alias(f"v{i}") for i, c in enumerate(names)]).limit(2 * wanted + LEAST_SAMPLED).toArrow()
+    cuts = {}
+    for i, c in enumerate(names):
+        v = np.sort(found.column(i).drop_null().to_numpy().astype(np.float64))
+        cuts[c] = np.unique(v[(np.arange(1, intervals) * len(v)) // intervals]) if len(v) else v
+    return cuts, n
 
 
 def _interval(cuts: np.ndarray):
@@ -54,7 +66,7 @@ def _interval(cuts: np.ndarray):
 
 def ranks(rows: DataFrame, id_column: str, names: list[str], prefix: str = "s_") -> DataFrame:
     """(id, complete, rank_0, rank_1, ...): exact mean-of-ties ranks of ``<prefix><name>`` columns, greater values first."""
-    cuts, total = cut_points(rows, names, prefix)
+    cuts, _ = cut_points(rows, id_column, names, prefix)
     coded = rows.select(F.col(id_column).alias("id"), *[F.col(f"`{prefix}{c}`").alias(f"v{i}") for i, c in enumerate(names)])
     coded = write_table(coded.select("*", *[_interval(cuts[c])(f"v{i}").alias(f"c{i}") for i, c in enumerate(names)]), "coded-scores")
     parts = F.array(*[F.struct(F.lit(i).cast("tinyint").alias("score"), F.coalesce(f"c{i}", F.lit(-1)).alias("code"), F.col(f"v{i}").alias("value")) for i in range(len(names))])

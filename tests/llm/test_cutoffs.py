@@ -66,6 +66,26 @@ def test_batches_add_up_to_the_whole_tree(spark):
     assert run(spark, rows, targets, cutoffs.add_batch(one, two)) == brute(rows, targets)
 
 
+def test_a_stored_tree_follows_records_scored_again(spark, tmp_path):
+    rows, targets = sample(5, 1200), {"x": 0.5, "y": 0.1}
+    store = cutoffs.TreeStore(spark, str(tmp_path / "t"))
+    assert store.tree() is None
+    frame = lambda r: spark.createDataFrame(r, SCORES)
+    assert store.apply(frame(rows[:800])) == 1
+    again = [(s, name, i, None if v is None else v + 1.0) for s, name, i, v in rows[:300]]
+    assert store.apply(frame(rows[800:] + again), frame(rows[:300])) == 2
+    now = again + rows[300:]
+    assert run(spark, now, targets, cutoffs.TreeStore(spark, str(tmp_path / "t")).tree()) == brute(now, targets)
+    # Everything taken out again leaves an empty tree; what isn't there can't be taken out, and then nothing changes.
+    assert store.apply(frame([]), frame(now)) == 3 and store.tree().count() == 0
+    try:
+        store.apply(frame([]), frame([("a", "x", 1, 2.0), ("a", "x", 2, 2.0)]))
+        raise AssertionError("negative counts")
+    except Exception as e:
+        assert "taken out" in str(e)
+    assert store.versions.head()["version"] == 3
+
+
 def test_other_columns_do_not_clash(spark):
     rows = [("a", "x", 1, 2.0), ("a", "x", 2, 1.0)]
     df = spark.createDataFrame(rows, SCORES)

@@ -33,22 +33,33 @@ def test_merge_keeps_true_bounds():
         parts = [rng.choice([0.0, 1.0, 2.0, math.inf, -math.inf], rng.integers(1, 300)) if trial % 3 == 0 else rng.normal(0, 1, rng.integers(1, 3000)) for _ in range(6)]
         s = None
         for p in parts:
-            one = Q.thin(Q.exact(p), 40)
-            s = one if s is None else Q.thin(Q.merge(s, one), 40)
+            one = Q.thin(Q.exact(p), 1 / 80)
+            s = one if s is None else Q.thin(Q.merge(s, one), 1 / 80)
         check(np.concatenate(parts), s)
 
 
 def test_error_stays_within_the_documented_share():
     rng = np.random.default_rng(2)
-    parts = [rng.exponential(1, 20_000) for _ in range(Q.FAN_IN)]
-    todo = [Q.thin(Q.exact(p)) for p in parts]
-    while len(todo) > 1:
-        todo = [Q.merge(*todo[i : i + 2]) for i in range(0, len(todo), 2)]
-    s = Q.thin(todo[0])
-    n = s[0]
-    check(np.concatenate(parts), s)
-    assert Q.max_error(s) <= 2 * n / (2 * Q.SIZE) + 2
-    assert all(Q.answer(s, q)[1] <= 2 * n / (2 * Q.SIZE) + 2 for q in np.linspace(0, 1, 101))
+    for draw in (lambda: rng.exponential(1, 20_000), lambda: np.round(rng.normal(0, 1, 20_000), 1)):
+        parts = [draw() for _ in range(Q.FAN_IN)]
+        todo = [Q.thin(Q.exact(p), Q.ERROR / 4) for p in parts]
+        assert all(Q.max_error(t) <= Q.ERROR / 4 * t[0] + 1 for t in todo)
+        while len(todo) > 1:
+            todo = [Q.merge(*todo[i : i + 2]) for i in range(0, len(todo), 2)]
+        s = Q.thin(todo[0])
+        n = s[0]
+        check(np.concatenate(parts), s)
+        assert len(s[1]) < 1.5 / (2 * Q.ERROR) and len(s[1]) < len(todo[0][1]) / 4  # compression does something
+        assert Q.max_error(s) <= Q.ERROR * n + 1
+        assert all(Q.answer(s, q)[1] <= Q.ERROR * n + 1 for q in np.linspace(0, 1, 101))
+
+
+def test_compression_keeps_what_the_permitted_error_needs():
+    s = Q.exact(np.arange(1000.0))
+    for permitted in (0.0, 0.001, 0.01, 0.1):
+        t = Q.thin(s, permitted)
+        assert Q.max_error(t) <= permitted * 1000 + 1 and (len(t[1]) == 1000) == (permitted * 2000 < 2)
+    assert [Q.rounds_for(n) for n in (0, 1, 8, 9, 64, 65)] == [1, 1, 1, 2, 2, 3]
 
 
 def test_empty_sides_and_single_values():
@@ -70,6 +81,7 @@ SCHEMA = "src string, id bigint, day int, a double, b double, name string"
 
 def test_groups_hot_keys_and_repeated_rows(spark, monkeypatch):
     monkeypatch.setattr(Q, "BUFFER", 500)
+    monkeypatch.setattr(Q, "FAN_IN", 2)  # several rounds of merging
     rows = data(4000)
     df = spark.createDataFrame(rows + rows[:500], SCHEMA).drop("name").repartition(7)
     got = Q.percentiles(Q.grouped_summaries(df, "src", ["a", "b"], ["id", "day"], salts=5), [0.1, 0.5, 0.99]).collect()
@@ -84,7 +96,7 @@ def test_groups_hot_keys_and_repeated_rows(spark, monkeypatch):
         assert r.n == len(values)
         first, last = rank_bounds(values, r.value)
         k = max(1, math.ceil(r.q * r.n))
-        assert max(first - k, k - last, 0) <= r.rank_error <= 4 * r.n / (2 * Q.SIZE) + 4
+        assert max(first - k, k - last, 0) <= r.rank_error <= Q.ERROR * r.n + 1
     assert Q.grouped_summaries(df.limit(0), "src", ["a"], ["id"]).count() == 0
 
 
@@ -97,7 +109,7 @@ def test_days_combine(spark):
         values = [x[3] for x in rows if x[0] == r.src]
         first, last = rank_bounds(values, r.value)
         k = math.ceil(0.5 * len(values))
-        assert r.n == len(values) and max(first - k, k - last, 0) <= r.rank_error
+        assert r.n == len(values) and max(first - k, k - last, 0) <= r.rank_error <= Q.ERROR * r.n + 1
 
 
 def test_other_columns_do_not_clash(spark):
