@@ -207,15 +207,13 @@ class MerkleStore:
             return now.drop(RANGE, HASH, "__key", "__value").withColumn(KIND, F.lit("new")), now, n, m
         old = self.spark.read.schema(TREE).parquet(f"{self.path}/{m['tree']}")
         depth = min(depth_for(n), m["depth"])
-        # The root and the ranges are compared first, their nodes collected: at most FANOUT ** MAX_RANGE_LEVEL numbers.
-        found = None
-        for k in range(level + 1):
-            found = _differing(self._tree, old, k, found)
-        ranges = sorted(r["node"] for r in found.collect())
+        # Ranges are compared here: at most FANOUT ** MAX_RANGE_LEVEL nodes of each tree.
+        new, was = ({r["node"]: (r["n"], r["a"], r["b"]) for r in t.where(F.col("level") == level).select("node", "n", "a", "b").collect()} for t in (self._tree, old))
+        ranges = sorted(k for k in new.keys() | was.keys() if new.get(k) != was.get(k))
         top = self.spark.createDataFrame([(r,) for r in ranges], "node bigint")
         for k in range(level + 1, depth + 1):
             top = _differing(self._tree, old, k, top)
-        leaves = top.select(F.col("node").alias(LEAF))
+        leaves = write_table(top.select(F.col("node").alias(LEAF)), "leaves")
         at = max(depth, level)
         inside = now.where(F.col(RANGE).isin(ranges)).withColumn(LEAF, node_at(at)).join(leaves, LEAF, "left_semi")
         fields = current.columns
