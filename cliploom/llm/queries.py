@@ -149,6 +149,13 @@ def p4_rates(spark: SparkSession, d: str) -> DataFrame:
     return by.agg(F.count(F.lit(1)).alias("n_values"), F.count_if("cut").alias("n_cut"), (F.count_if("cut") / F.count(F.lit(1))).alias("share"))
 
 
+def p4_evidence(spark: SparkSession, d: str) -> DataFrame:
+    """Cut values of each field and provider by what showed the cut: a significant length or the ending itself."""
+    values = caption_values(spark, d)
+    found, _ = truncation.find_truncated(values.select("id", "field", "source", "text"))
+    return found.where("cut").groupBy("source", "evidence").agg(F.count(F.lit(1)).alias("n_values"))
+
+
 def p4_limits(spark: SparkSession, d: str) -> DataFrame:
     """Lengths at which a source's values end far more often than at the lengths around them."""
     _, lengths = truncation.find_truncated(caption_values(spark, d).select("id", "field", "source", "text"))
@@ -239,6 +246,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_rates": p4_rates,
     "p4_limits": p4_limits,
+    "p4_evidence": p4_evidence,
     "p7_packed": p7_packed,
     "p7_usage": p7_usage,
     "p7_valid": p7_valid,

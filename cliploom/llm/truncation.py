@@ -13,8 +13,11 @@ sentence, end a sentence there? Counts come from all texts. An ending that never
 occurs as the beginning of other words, a dangling comma, or a connective that isn't known to end sentences mark a cut.
 
 At a significant length every incomplete ending is flagged, that is one without stop and without a whole tag after it;
-at other lengths the ending's own evidence has to show the cut. Of two fields of a record with the same text both are
-flagged if one is.
+at other lengths, which a transfer that broke off hits at random, the ending's own evidence has to show the cut. Of two
+fields of a record with the same text both are flagged if one is. ``evidence`` says which of them decided.
+
+Texts are divided and coded by Arrow kernels in whole batches. Only contexts that some ending asks for are counted: a
+bit map of fixed size, made of the asked contexts' hashes, lets each task drop the others before the shuffle.
 
 Cases: null, empty and blank values are no cases and have no row; identical records count once; very long texts are
 read whole; a text of marks alone is complete; an empty table yields no rows.
@@ -26,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,7 +63,11 @@ ENDING = T.StructType([
     T.StructField("broken", T.BooleanType()),  # dangling mark, half a character or half a tag
     T.StructField("dangling", T.BooleanType()),
     T.StructField("contexts", T.ArrayType(T.LongType())),
+    T.StructField("size", T.IntegerType()),  # letters of the last word
 ])
+#: Bits of the map of asked contexts (2 MB); beyond about as many contexts it lets more others through, never fewer asked ones.
+MAP_BITS = 1 << 24
+_BREAKS = frozenset(STOPS)
 
 
 class Reader:
@@ -77,7 +85,6 @@ class Reader:
         self.close = regex.compile(r"[\s\"”»」』}`]+$")
         self.marks = regex.compile(r"[#\[(@–—“-]|\d[pi]$")
         self.ellipsis = regex.compile(r"(?:\.{2,}|…+)$")
-        self.token = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}]|[^\W_](?:[^\W_]|['’-](?=[^\W_]))*|[.!?。！？\n]")
         self.hashes: dict[str, int] = {}
 
     def hash(self, word: str) -> int:
@@ -108,55 +115,95 @@ class Reader:
             t = u
         return t, tagged, cut
 
-    def sentence(self, core: str) -> list[str]:
-        """Tokens of the last sentence."""
-        tail: list[str] = []
-        for x in self.token.findall(core.lower()):
-            if x in STOPS or x == "\n":
-                tail = []
-            else:
-                tail.append(x)
-        return tail
-
-    def ending(self, text: str) -> tuple[bool, bool, bool, bool, list[int]]:
-        core, tagged, cut = self.core(text)
-        if not core:
-            return True, tagged, False, False, []
-        ended = core[-1] in STOPS and not cut
-        if ended:
-            return True, tagged, False, False, []
-        half = bool(self.open.search(core, max(0, len(core) - REACH)))
-        broken = core[-1] in ",，、;；:：-–—'’�" or half
-        tail = self.sentence(core)
-        if not tail:
-            return not cut, tagged, broken and tagged is False, False, []
-        h = [self.hash(x) for x in tail[-3:]]
-        return False, tagged, broken, tail[-1] in DANGLING, [int(x) for x in np.array(contexts_of(self.hash(tail[0]), h), dtype=np.uint64).view(np.int64)] + [signed(self.hash("^" + tail[-1]))]
+    def cores(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """:meth:`core` of each text; texts that plainly have nothing after them are not looked at one by one."""
+        t = pc.utf8_rtrim_whitespace(texts)
+        tail = pc.utf8_slice_codeunits(t, -REACH, None)
+        stop = pc.and_(pc.match_substring_regex(tail, r"[\pL\pN][.!?。！？]$"), pc.invert(pc.match_substring_regex(tail, r"(?:etc|usw)\.$")))
+        bare = pc.and_(pc.match_substring_regex(tail, r"[\pL\pN]$"), pc.invert(pc.match_substring_regex(tail, r"[#\[(@–—“-]|\d[pi]$")))
+        slow = np.flatnonzero(~np.asarray(pc.or_(stop, bare)))
+        tagged, cut = np.zeros(len(t), dtype=bool), np.zeros(len(t), dtype=bool)
+        if len(slow):
+            got = [self.core(x) for x in t.take(pa.array(slow)).to_pylist()]
+            tagged[slow], cut[slow] = [g[1] for g in got], [g[2] for g in got]
+            mask = np.zeros(len(t), dtype=bool)
+            mask[slow] = True
+            t = pc.replace_with_mask(t, pa.array(mask), pa.array([g[0] for g in got], t.type))
+        return t, tagged, cut
+
+    def tokens(self, cores: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(number of each token's word, its text, the words): words in lower case, stops and ideographs one by one.
+
+        A line end is a stop. Apostrophes and hyphens belong to a word only inside it.
+        """
+        x = pc.replace_substring(pc.utf8_lower(cores), "\n", "。")
+        x = pc.replace_substring_regex(x, r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}.!?。！？])", r" \1 ")
+        x = pc.replace_substring_regex(x, r"[^\pL\pN\pM\s.!?。！？'’-]", " ")
+        lists = pc.utf8_split_whitespace(x)
+        coded = lists.flatten().dictionary_encode()
+        owner = np.repeat(np.arange(len(cores)), np.asarray(lists.value_lengths()))
+        plain = [w.strip("'’-") for w in coded.dictionary.to_pylist()]
+        number = {w: i for i, w in enumerate(dict.fromkeys(w for w in plain if w))}
+        at = np.array([number.get(w, -1) for w in plain], dtype=np.int64)[np.asarray(coded.indices)]
+        return at[at >= 0], owner[at >= 0], list(number)
+
+    def positions(self, cores: pa.Array) -> dict:
+        """Of each token: word, text, whether it is a stop or its text's last, first token of its sentence; the words."""
+        w, owner, words = self.tokens(cores)
+        stop = np.array([x in _BREAKS for x in words], dtype=bool)[w]
+        at = np.arange(len(w))
+        final = np.r_[owner[1:] != owner[:-1], True] if len(w) else np.zeros(0, dtype=bool)
+        new = np.r_[True, final[:-1] | stop[:-1]] if len(w) else final
+        return {"w": w, "owner": owner, "words": words, "stop": stop, "final": final, "begin": np.maximum.accumulate(np.where(new, at, 0)) if len(w) else at}
+
+    def keys(self, p: dict, some: np.ndarray) -> list[np.ndarray]:
+        """The five context keys of the tokens at the places ``some``."""
+        table = np.array([self.hash(x) for x in p["words"]], dtype=np.uint64)
+        code = table[p["w"]] if len(p["w"]) else np.empty(0, dtype=np.uint64)
+        place = some - p["begin"][some]
+        c, b, a = code[some], code[np.maximum(some - 1, 0)], code[np.maximum(some - 2, 0)]
+        b, a, head = np.where(place >= 1, b, np.uint64(0)), np.where(place >= 2, a, np.uint64(0)), code[p["begin"][some]]
+        with np.errstate(over="ignore"):
+            return [_mix_arrays(1, head, b, c), _mix_arrays(2, head, c), _mix_arrays(3, a, b, c), _mix_arrays(4, b, c), _mix_arrays(5, c)]
+
+    def ending(self, text: str) -> tuple:
+        """The fields of :data:`ENDING` of one text."""
+        return tuple(self.endings(pa.array([text]))[0].as_py().values())
+
+    def endings(self, texts: pa.Array) -> pa.StructArray:
+        """:data:`ENDING` of each text."""
+        cores, tagged, cut = self.cores(texts.fill_null(""))
+        last = pc.utf8_slice_codeunits(cores, -1, None)
+        empty = np.asarray(pc.equal(pc.utf8_length(cores), 0))
+        ended = empty | (np.asarray(pc.is_in(last, pa.array(list(STOPS)))) & ~cut)
+        n = len(texts)
+        broken, dangling, contexts, size = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool), [[]] * n, np.zeros(n, dtype=np.int32)
+        open_ = np.flatnonzero(~ended)
+        if len(open_):
+            some = cores.take(pa.array(open_))
+            ends = some.to_pylist()
+            mark = np.array([x[-1] in ",，、;；:：-–—'’�" or bool(self.open.search(x, max(0, len(x) - REACH))) for x in ends])
+            p = self.positions(some)
+            at = np.flatnonzero(p["final"] & ~p["stop"])
+            who = p["owner"][at]
+            bare = np.ones(len(open_), dtype=bool)  # no word after the last stop
+            bare[who] = False
+            broken[open_] = np.where(bare, mark & ~tagged[open_], mark)
+            ended[open_[bare]] = ~cut[open_[bare]]
+            rows = np.stack([*(k.view(np.int64) for k in self.keys(p, at)), np.array([signed(self.hash("^" + p["words"][i])) for i in p["w"][at]], dtype=np.int64)], axis=1) if len(at) else []
+            for i, o in enumerate(open_[who]):
+                word = p["words"][p["w"][at[i]]]
+                contexts[o], dangling[o], size[o] = rows[i].tolist(), word in DANGLING, len(word)
+        return pa.StructArray.from_arrays([pa.array(ended), pa.array(tagged), pa.array(broken), pa.array(dangling), pa.array(contexts, pa.list_(pa.int64())), pa.array(size)], [f.name for f in ENDING])
 
 
 def signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-_MASK = (1 << 64) - 1
-
-
-def _mix(kind: int, *parts: int) -> int:
-    h = kind * 0x9E3779B97F4A7C15 & _MASK
-    for p in parts:
-        h = ((h ^ p) * 0xD6E8FEB86659FD93) & _MASK
-        h ^= h >> 32
-    return h
-
-
-def contexts_of(head: int, last: list[int]) -> list[int]:
-    """Keys of the ending contexts, the most telling first; a context longer than the sentence repeats the empty token."""
-    a, b, c = ([0, 0, 0] + last)[-3:]
-    return [_mix(1, head, b, c), _mix(2, head, c), _mix(3, a, b, c), _mix(4, b, c), _mix(5, c)]
-
-
 def _mix_arrays(kind: int, *parts: np.ndarray) -> np.ndarray:
-    h = np.full(len(parts[0]), kind * 0x9E3779B97F4A7C15 & _MASK, dtype=np.uint64)
+    """Key of a context from its kind and its tokens' hashes; a context longer than the sentence repeats the empty token."""
+    h = np.full(len(parts[0]), kind * 0x9E3779B97F4A7C15 & (1 << 64) - 1, dtype=np.uint64)
     for p in parts:
         h = (h ^ p) * np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
@@ -174,60 +221,56 @@ def reader() -> Reader:
 
 @F.arrow_udf(ENDING)
 def ending(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    r = reader()
     for batch in batches:
-        got = [r.ending(t) for t in batch.to_pylist()]
-        flags = [pa.array([g[i] for g in got], pa.bool_()) for i in range(4)]
-        yield pa.StructArray.from_arrays([*flags, pa.array([g[4] for g in got], pa.list_(pa.int64()))], [f.name for f in ENDING])
+        yield reader().endings(batch)
+
+
+def asked_map(asked: DataFrame) -> np.ndarray:
+    """Bit map of the hashes of the asked contexts: MAP_BITS bits, whatever their number."""
+    bit = F.pmod(F.col("context"), F.lit(MAP_BITS))
+    words = asked.groupBy(F.shiftright(bit, 6).alias("i")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(context, {MAP_BITS}) % 64 AS INT))")).alias("bits")).toArrow()
+    out = np.zeros(MAP_BITS // 64, dtype=np.int64)
+    out[words.column("i").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
+def _count_contexts(shared, sizes: list[int]):
+    """mapInArrow function: (context, seen, ends) partial counts of asked contexts in a task's texts."""
 
+    def asked(keys: np.ndarray) -> np.ndarray:
+        bit = keys.view(np.int64) % MAP_BITS
+        return (shared.value[bit >> 6] >> (bit & 63)) & 1 == 1
 
-def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(context, seen, ends) partial counts of a task's texts: every position of a sentence that something follows."""
-    r = reader()
-    with np.errstate(over="ignore"):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = reader()
         for batch in batches:
-            words: dict[str, int] = {x: i for i, x in enumerate([*STOPS, "\n"])}
-            n_stops = len(words)
-            ids: list[int] = []
-            starts: list[int] = []
-            for text in batch.column(0).to_pylist():
-                starts.append(len(ids))
-                ids += [words.setdefault(x, len(words)) for x in r.token.findall(r.core(text)[0].lower())]
-                ids.append(-1)  # the end of a text without a stop says nothing
-            w = np.array(ids)
-            breaks = w < n_stops
-            if breaks.all():
+            p = r.positions(r.cores(batch.column(0).fill_null(""))[0])
+            some = np.flatnonzero(~p["stop"] & ~p["final"])  # the end of a text without a stop says nothing
+            if not len(some):
                 continue
-            table = np.array([r.hash(x) for x in words], dtype=np.uint64)
-            at = np.arange(len(w))
-            # First token of each token's sentence, and its place there.
-            begin = np.maximum.accumulate(np.where(breaks, at + 1, 0))
-            begin = np.maximum(begin, np.repeat(np.array(starts), np.diff([*starts, len(w)])))
-            keep = ~breaks & (w[np.minimum(at + 1, len(w) - 1)] != -1)
-            place, head = (at - begin)[keep], w[begin[keep]]
-            end = (w[np.minimum(at + 1, len(w) - 1)] < n_stops)[keep]
-            code = table[np.maximum(w, 0)]
-            c, b, a = code[keep], code[np.maximum(at - 1, 0)][keep], code[np.maximum(at - 2, 0)][keep]
-            b, a, head = np.where(place >= 1, b, np.uint64(0)), np.where(place >= 2, a, np.uint64(0)), table[head]
-            keys = np.concatenate([_mix_arrays(1, head, b, c), _mix_arrays(2, head, c), _mix_arrays(3, a, b, c), _mix_arrays(4, b, c), _mix_arrays(5, c)])
-            seen = np.ones(len(keys), dtype=np.int64)
-            ended = np.tile(end, 5).astype(np.int64)
-            # Beginnings of words, counted by the words that go on.
-            n = np.bincount(w[keep], minlength=len(words))
-            first = [("^" + x[:k], int(m)) for x, m in zip(words, n) if m for k in range(1, min(len(x), 24))]
+            ended = p["stop"][some + 1]
+            keys, ends = np.concatenate(r.keys(p, some)), np.tile(ended, 5).astype(np.int64)
+            # Beginnings of words, of the lengths that are asked for, counted by the words that go on.
+            n = np.bincount(p["w"][some], minlength=len(p["words"]))
+            first = [("^" + x[:k], int(m)) for x, m in zip(p["words"], n) if m for k in sizes if k < len(x)]
             keys = np.concatenate([keys, np.array([r.hash(x) for x, _ in first], dtype=np.uint64)])
-            seen = np.concatenate([seen, np.array([m for _, m in first], dtype=np.int64)])
-            ended = np.concatenate([ended, np.zeros(len(first), dtype=np.int64)])
-            key, inverse = np.unique(keys, return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(np.bincount(inverse, seen).astype(np.int64)), pa.array(np.bincount(inverse, ended).astype(np.int64))],
-                ["context", "seen", "ends"],
-            )
-
-
-def context_counts(texts: DataFrame) -> DataFrame:
-    """(context, seen, ends) over all texts of the column ``text``."""
-    parts = texts.select("text").mapInArrow(_count_contexts, "context bigint, seen bigint, ends bigint")
+            seen = np.concatenate([np.ones(len(ends), dtype=np.int64), np.array([m for _, m in first], dtype=np.int64)])
+            ends = np.concatenate([ends, np.zeros(len(first), dtype=np.int64)])
+            wanted = asked(keys)
+            key, inverse = np.unique(keys[wanted], return_inverse=True)
+            counts = [np.bincount(inverse, x[wanted], len(key)).astype(np.int64) for x in (seen, ends)]
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(pa.array(c) for c in counts)], ["context", "seen", "ends"])
+
+    return run
+
+
+def context_counts(texts: DataFrame, asked: DataFrame, sizes: list[int]) -> DataFrame:
+    """(context, seen, ends) over all texts of the column ``text``, of all contexts in ``asked`` and a few others.
+
+    ``sizes``: lengths of the last words whose beginnings are asked for.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(asked_map(asked))
+    parts = texts.select("text").mapInArrow(_count_contexts(shared, sizes), "context bigint, seen bigint, ends bigint")
     return parts.groupBy("context").agg(F.sum("seen").alias("seen"), F.sum("ends").alias("ends"))
 
 
@@ -291,19 +334,21 @@ def _label() -> Column:
 def endings(values: DataFrame) -> DataFrame:
     """``values`` (with ``text``) plus ``open`` (no final stop), ``tagged`` and ``cut_by_ending``; reads ``values`` twice."""
     read = values.withColumn("e", ending("text"))
-    read = write_table(read.select(*[c for c in values.columns if c != "text"], F.col("e.ended").alias("ended"), F.col("e.tagged").alias("tagged"), F.col("e.broken").alias("broken"), F.col("e.dangling").alias("dangling"), F.col("e.contexts").alias("contexts")), "endings")
+    fields = [F.col(f"e.{f.name}").alias(f.name) for f in ENDING]
+    read = write_table(read.select(*[c for c in values.columns if c != "text"], *fields), "endings")
     # A cut of one source doesn't end at the same place in most of the others, nor does one source hold most copies of a label.
     least = max(LABEL_SOURCES, LABEL_SHARE * read.select("source").distinct().count())
     unclear = read.where(~F.col("ended") & (F.size("contexts") > 0)).groupBy("contexts", "source").agg(F.count(F.lit(1)).alias("n"), F.min("same").alias("low"), F.max("same").alias("high"))
     spread = (F.count_if(F.col("n") > 1) >= least) & (2 * F.max("n") <= F.sum("n"))
     unclear = unclear.groupBy("contexts").agg((spread & (F.min("low") == F.max("high"))).alias("one")).withColumn("tail", F.xxhash64("contexts"))
-    counts = context_counts(values)
-    asked = unclear.select("tail", "one", F.posexplode("contexts").alias("i", "context"))
-    known = asked.join(counts, "context", "left")
+    asked = write_table(unclear.select("tail", "one", F.posexplode("contexts").alias("i", "context")), "asked")
+    sizes = sorted(r["size"] for r in read.where("size > 0").select("size").distinct().collect())  # lengths of words
+    counts = write_table(context_counts(values, asked, sizes), "context-counts")
+    known = join_unique(asked, counts, "context")
     facts = known.groupBy("tail", "one").agg(*[F.max(F.when(F.col("i") == i, F.struct("seen", "ends"))).alias(f"f{i}") for i in range(len(CONTEXTS))])
     facts = write_table(facts.select("tail", _ending_verdict().alias("verdict"), _label().alias("label")), "ending-facts")
     keyed = read.withColumn("tail", F.when(~F.col("ended") & (F.size("contexts") > 0), F.xxhash64("contexts")))
-    joined = join_unique(keyed, facts, "tail").drop("tail", "contexts")
+    joined = join_unique(keyed, facts, "tail").drop("tail", "contexts", "size")
     label = F.coalesce("label", F.lit(False)) & ~F.col("dangling")
     # A connective that the corpus knows to end sentences ("passes behind") is no sign of a cut.
     cut = ~F.col("ended") & (F.col("broken") | (~label & F.coalesce("verdict", F.col("dangling"))))
@@ -311,7 +356,7 @@ def endings(values: DataFrame) -> DataFrame:
 
 
 def find_truncated(values: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(one row per value with ``cut``, the table of lengths).
+    """(one row per value with ``cut`` and ``evidence``, the table of lengths).
 
     ``values``: (id, field, source, text), one row per value, a written table, as it is read twice; other columns are
     left out.
@@ -329,5 +374,9 @@ def find_truncated(values: DataFrame) -> tuple[DataFrame, DataFrame]:
     flagged = _at_limit(marked, in_bytes, "bytes").withColumn("at_limit", F.col("at_chars") | (F.col("at_bytes") & wide))
     # A whole tag after the text shows that the text itself was not at the end of the field.
     flagged = flagged.withColumn("own", F.col("cut_by_ending") | (F.col("at_limit") & F.col("open") & ~F.col("tagged")))
-    shared = flagged.groupBy("id", "same").agg(F.bool_or("own").alias("cut"), F.collect_list(F.struct("field", "source", "chars", "bytes", "at_limit")).alias("l"))
-    return shared.select("id", "cut", F.inline("l")), in_chars.unionByName(in_bytes)
+    # The length decides where it is significant; else the ending; else the other field's equal text.
+    decided = F.when(F.col("at_limit") & F.col("open") & ~F.col("tagged"), 0).when(F.col("cut_by_ending"), 1)
+    flagged = flagged.withColumn("decided", decided)
+    shared = flagged.groupBy("id", "same").agg(F.bool_or("own").alias("cut"), F.min("decided").alias("d"), F.collect_list(F.struct("field", "source", "chars", "bytes", "at_limit")).alias("l"))
+    evidence = F.when(F.col("d") == 0, "length").when(F.col("d") == 1, "ending")
+    return shared.select("id", "cut", evidence.alias("evidence"), F.inline("l")), in_chars.unionByName(in_bytes)

@@ -1,16 +1,30 @@
 import random
 
-import numpy as np
+import pyarrow as pa
 
 from cliploom.llm import truncation as X
 
 SCHEMA = "id bigint, field string, source string, text string"
 
 
-def test_contexts_in_python_and_numpy_agree():
-    with np.errstate(over="ignore"):
-        got = X._mix_arrays(1, np.array([7], np.uint64), np.array([2**63 + 5], np.uint64), np.array([9], np.uint64))
-    assert int(got[0]) == X._mix(1, 7, 2**63 + 5, 9)
+def test_contexts_of_endings_are_those_that_are_counted(spark):
+    texts = ["A nurse opens one drawer", "A nurse opens one drawer in a room. A nurse opens one drawer. She opens one drawers", "他打开抽屉", "他打开抽屉。好", None, "", "drawer"]
+    r = X.Reader()
+    asked = r.endings(pa.array(texts)).field("contexts").to_pylist()
+    rows = [(c,) for l in asked for c in l]
+    got = {x.context: (x.seen, x.ends) for x in X.context_counts(spark.createDataFrame([(t,) for t in texts], "text string"), spark.createDataFrame(rows, "context bigint"), [6, 1]).collect()}
+    # after the same head, after the last two, the last word, and as the beginning of "drawers", which ends its text
+    assert [got.get(c) for c in asked[0]] == [(2, 1), (2, 1), (2, 1), (2, 1), (2, 1), None]
+    assert [got.get(c) for c in asked[2]][4] == (1, 1) and asked[4] == asked[5] == []
+    longer = X.context_counts(spark.createDataFrame([("Old drawers squeak." * 3,)], "text string"), spark.createDataFrame(rows, "context bigint"), [6]).collect()
+    assert {x.context: (x.seen, x.ends) for x in longer}[asked[0][5]] == (3, 0)
+
+
+def test_fast_paths_agree_with_reading_each_text():
+    r = X.Reader()
+    texts = ["A man waits.", "A man waits", "A man waits etc.", "A man waits...", "A man waits…", "720p", "A man – waits", "A [tag", "A man waits?!", "他等。", "他等", "“A man.”", "x" * 500, "A man #tag " + "y" * 80, " ", "A man waits.\n"]
+    cores, tagged, cut = r.cores(pa.array(texts))
+    assert list(zip(cores.to_pylist(), tagged.tolist(), cut.tolist())) == [r.core(t) for t in texts]
 
 
 def test_what_follows_a_text_is_set_aside():
