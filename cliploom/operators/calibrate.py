@@ -82,21 +82,30 @@ def capped(metadata: DataFrame, order: Sequence[str], sample_size: int = SAMPLE_
 def threshold_grid(rows: DataFrame, grid: dict[str, Sequence[float]], label: str, scores: str = "scores") -> DataFrame:
     """(a column per score, tp, fp, fn, prec, rec) of every threshold combination against a boolean label.
 
-    All combinations are counted in one aggregate over one scan. A missing score is -1; a null label doesn't count.
+    A row is counted by how many of each score's thresholds it reaches, so the expressions over rows grow with the sum of
+    the thresholds' numbers, and what follows with the combinations only. A missing score is -1; a null label doesn't
+    count.
     """
     names = list(grid)
-    got = rows.where(F.col(label).isNotNull()).select(F.col(label).alias("y"), *[F.coalesce(F.try_element_at(scores, F.lit(n)), F.lit(-1.0)).alias(n) for n in names])
-    combos = list(itertools.product(*[grid[n] for n in names]))
-    aggs: list[Column] = []
-    for i, c in enumerate(combos):
-        said = F.lit(True)
-        for n, t in zip(names, c):
-            x = F.col(n)
-            said = said & ~F.isnan(x) & (x >= F.lit(float(t)))
-        aggs += [F.count_if(said & F.col("y")).alias(f"tp{i}"), F.count_if(said & ~F.col("y")).alias(f"fp{i}"), F.count_if(~said & F.col("y")).alias(f"fn{i}")]
-    one = got.agg(*aggs)
-    parts = [F.struct(*[F.lit(float(t)).alias(n) for n, t in zip(names, c)], *[F.col(f"{k}{i}").alias(k) for k in ("tp", "fp", "fn")]) for i, c in enumerate(combos)]
-    table = one.select(F.inline(F.array(*parts)))
+    steps = {n: sorted({float(t) for t in grid[n]}) for n in names}
+
+    def reached(n: str) -> Column:
+        x = F.coalesce(F.try_element_at(scores, F.lit(n)), F.lit(-1.0))
+        return F.when(F.isnan(x), F.lit(0)).otherwise(sum((F.when(x >= F.lit(t), 1).otherwise(0) for t in steps[n]), F.lit(0)))
+
+    codes = rows.where(F.col(label).isNotNull()).select(F.col(label).alias("__y"), *[reached(n).alias(f"__c{i}") for i, n in enumerate(names)])
+    cells = codes.groupBy(*[f"__c{i}" for i in range(len(names))]).agg(F.count_if("__y").alias("__p"), F.count_if(~F.col("__y")).alias("__n"))
+    said = cells
+    for i in range(len(names)):  # every combination a cell reaches
+        said = said.where(F.col(f"__c{i}") > 0).withColumn(f"__c{i}", F.explode(F.sequence(F.lit(1), F.col(f"__c{i}"))))
+    hits = said.groupBy(*[f"__c{i}" for i in range(len(names))]).agg(F.sum("__p").alias("tp"), F.sum("__n").alias("fp"))
+    combos = [(*[steps[n].index(float(t)) + 1 for n, t in zip(names, c)], *map(float, c)) for c in itertools.product(*[grid[n] for n in names])]
+    schema = ", ".join([*[f"__c{i} int" for i in range(len(names))], *[f"`{n}` double" for n in names]])
+    asked = rows.sparkSession.createDataFrame(combos, schema)
+    total = F.broadcast(cells.agg(F.coalesce(F.sum("__p"), F.lit(0)).alias("__all")))  # one row
+    table = asked.join(F.broadcast(hits), [f"__c{i}" for i in range(len(names))], "left").crossJoin(total)  # at most a row per combination
+    none = F.lit(0).cast("bigint")
+    table = table.select(*[F.col(f"`{n}`") for n in names], F.coalesce("tp", none).alias("tp"), F.coalesce("fp", none).alias("fp"), (F.col("__all") - F.coalesce("tp", none)).alias("fn"))
     ratio = lambda other: F.col("tp") / (F.col("tp") + F.col(other) + F.lit(1e-9))
     return table.withColumn("prec", ratio("fp")).withColumn("rec", ratio("fn"))
 

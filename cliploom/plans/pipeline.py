@@ -48,20 +48,23 @@ def caption_frame_indices(spark: SparkSession, d: str) -> DataFrame:
     return _sizes(spark, d).select("total", "n", kernels.caption_indices(F.col("total"), F.col("n")).alias("at"))
 
 
-def polygon_area(spark: SparkSession, d: str) -> DataFrame:
-    """Boxes of lineitem quantities: (0, 0), (q, 0), (q, p), (0, p)."""
+def _quad(a: Column, b: Column, c: Column, e: Column) -> Column:
+    """A quadrangle away from the origin, turned either way, which crosses itself for some values."""
     p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
-    q, e, zero = F.col("l_quantity"), F.col("l_discount") * 100, F.lit(0)
-    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", kernels.polygon_area(F.array(p(zero, zero), p(q, zero), p(q, e), p(zero, e))).alias("area"))
-    return rows.select("l_orderkey", "l_linenumber", F.round("area", 6).alias("area"))
+    return F.array(p(a, b), p(a + c, b - e), p(c * 2 - b, e + a), p(b - c, a * 2))
+
+
+def polygon_area(spark: SparkSession, d: str) -> DataFrame:
+    """Quadrangles made of the numbers of order lines."""
+    q = _quad(F.col("l_quantity"), F.col("l_discount") * 100, F.col("l_tax") * 100, F.col("l_linenumber"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(kernels.polygon_area(q), 6).alias("area"))
 
 
 def text_area_ratio(spark: SparkSession, d: str) -> DataFrame:
-    p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
-    w = F.col("width")
-    polygon = F.array(p(F.lit(0), F.lit(0)), p(w / 4, F.lit(0)), p(F.lit(0), F.col("height") / 2))
-    ratio = kernels.text_area_ratio(F.array(polygon, polygon, F.lit(None)), w, F.col("height"))
-    return table(spark, d, "clip_results").select("clip_id", F.round(ratio, 9).alias("ratio"))
+    """Two boxes of text of each clip, of sizes that differ from clip to clip, and one that is missing."""
+    w, h, k = F.col("width"), F.col("height"), F.col("clip_id") % 17
+    boxes = F.array(_quad(k + 3, k % 5, w / 8, h / 9), F.lit(None), _quad(w / 3, h / (k + 4), k + 1, F.lit(7)))
+    return table(spark, d, "clip_results").select("clip_id", F.round(kernels.text_area_ratio(boxes, w, h), 9).alias("ratio"))
 
 
 def fit_within(spark: SparkSession, d: str) -> DataFrame:
@@ -89,7 +92,7 @@ def resume_anti_join(spark: SparkSession, d: str) -> DataFrame:
     """Caption records whose clip and text no failed record covers; null texts match null texts."""
     rows = _records(spark, d)
     done = table(spark, d, "clip_captions").where("caption_error is not null").select(F.col("path").alias("video_path"), F.col("caption").alias("text"))
-    return records.pending(rows, done, ["video_path", "text"]).groupBy("provider").agg(F.count(F.lit(1)).alias("n"), F.sum("caption_id").alias("ids"))
+    return records.pending(rows, done, ["video_path", "text"]).select("caption_id", "video_path", "text", "provider")
 
 
 def extras_left_join(spark: SparkSession, d: str) -> DataFrame:
@@ -351,6 +354,17 @@ _DUR = "greatest(finished_at - coalesce(started_at, finished_at), 0.0)"
 _FLAGS = ", ".join(f"count(*) FILTER (coalesce({f}, false)) AS n_{f}" for f in ("downloaded", "extracted", "scored", "uploaded"))
 _BLANK = "trim({}, ' ' || chr(9) || chr(10) || chr(13))"
 
+
+
+def _shoelace(a: str, b: str, c: str, e: str) -> str:
+    """SQL of the area of the same quadrangle, as half the cross product of its diagonals."""
+    a, b, c, e = f"({a})", f"({b})", f"({c})", f"({e})"
+    x, y = [f"({a})", f"({a} + {c})", f"({c} * 2 - {b})", f"({b} - {c})"], [f"({b})", f"({b} - {e})", f"({e} + {a})", f"({a} * 2)"]
+    return f"abs((({x[2]} - {x[0]}) * ({y[3]} - {y[1]}) - ({x[3]} - {x[1]}) * ({y[2]} - {y[0]}))::DOUBLE) / 2"
+
+
+_AREAS = "(" + _shoelace("k + 3", "k % 5", "width / 8", "height / 9") + " + " + _shoelace("width / 3", "height / (k + 4)", "k + 1", "7") + ")"
+
 ORACLE = {
     "sliding_windows": """SELECT clip_id, round(d, 6) AS duration_sec, CASE WHEN fps > 0 THEN n END AS num_windows, CASE WHEN fps > 0 AND n > 0 THEN 59 END AS first_end,
   CASE WHEN fps > 0 AND n > 0 THEN 45 * (n - 1) END AS last_start FROM (SELECT *, CAST(CASE WHEN l + 1 >= 60 THEN (l - 59) // 45 + 1 ELSE 0 END AS INTEGER) AS n
@@ -358,19 +372,20 @@ ORACLE = {
     "scene_windows": """SELECT clip_id, scene, f AS start_frame, l AS end_frame, CAST(CASE WHEN l - 47 >= f THEN (l - 47 - f) // 24 + 1 ELSE 0 END AS INTEGER) AS num_windows FROM (
   SELECT clip_id, scene, f, greatest(e, f) AS l FROM (SELECT clip_id, scene, CAST(trunc(s * fps) AS INTEGER) AS f, CAST(trunc(x * fps) AS INTEGER) - 1 AS e FROM (
    SELECT clip_id, fps, 0 AS scene, 0.0::DOUBLE AS s, round(total_frames / fps * 0.7, 3) AS x FROM clip_results WHERE fps > 0 UNION ALL
-   SELECT clip_id, fps, 1, round(total_frames / fps * 0.7, 3), total_frames / fps FROM clip_results WHERE fps > 0)))""",
+   SELECT clip_id, fps, 1, round(total_frames / fps * 0.7, 3), total_frames / fps FROM clip_results WHERE fps > 0)))
+  UNION ALL SELECT clip_id, NULL, NULL, NULL, NULL FROM clip_results WHERE NOT coalesce(fps > 0, false)""",
     "uniform_indices": f"SELECT total, n, CAST(CASE WHEN total <= 0 OR n <= 0 THEN [] WHEN n >= total THEN range(total) ELSE list_transform(range(n), lambda i: CAST(trunc(i * (CAST(total AS DOUBLE) / n)) AS INTEGER)) END AS INTEGER[]) AS at FROM {_SZ}",
     "frame_pairs": f"SELECT total, n, CAST(CASE WHEN total < 2 THEN [] ELSE list_filter(list_transform(range(greatest(n, 1)), lambda i: i * greatest(total // (greatest(n, 1) + 1), 1)), lambda x: x + 1 < total) END AS INTEGER[]) AS at FROM {_SZ}",
     "caption_frame_indices": f"""SELECT total, n, CASE WHEN total <= 0 OR n <= 0 THEN [] WHEN n = 1 THEN [total // 2] ELSE list_sort(list_distinct(list_transform(range(greatest(n, 2)), lambda i:
   least(CAST(round_even(CAST(i AS DOUBLE) * greatest(total - 1, 1) / greatest(n - 1, 1), 0) AS INTEGER), total - 1)))) END AS at FROM {_SZ}""",
-    "polygon_area": "SELECT l_orderkey, l_linenumber, round(l_quantity * (l_discount * 100), 6) AS area FROM lineitem",
-    "text_area_ratio": "SELECT clip_id, CASE WHEN width > 0 AND height > 0 THEN round(0.125, 9)::DOUBLE ELSE 0.0::DOUBLE END AS ratio FROM clip_results",
+    "polygon_area": f"SELECT l_orderkey, l_linenumber, round({_shoelace('l_quantity', 'l_discount * 100', 'l_tax * 100', 'l_linenumber')}, 6) AS area FROM lineitem",
+    "text_area_ratio": f"""SELECT clip_id, round(CASE WHEN width > 0 AND height > 0 THEN {_AREAS} / (CAST(width AS DOUBLE) * height) ELSE 0.0 END, 9)::DOUBLE AS ratio FROM (SELECT *, clip_id % 17 AS k FROM clip_results)""",
     "fit_within": """SELECT width, height, CASE WHEN m > 512 THEN greatest(CAST(trunc(width * (512.0::DOUBLE / m)) AS INTEGER), 1) ELSE width END AS w, CASE WHEN m > 512 THEN greatest(CAST(trunc(height * (512.0::DOUBLE / m)) AS INTEGER), 1) ELSE height END AS h
   FROM (SELECT DISTINCT width, height, greatest(width, height) AS m FROM clip_results WHERE width IS NOT NULL AND height IS NOT NULL)""",
     "dedup_first": f"SELECT path AS video_path, caption AS text, caption_id, provider FROM {_FIRST} WHERE rn = 1",
     "limit_after_dedup": f"SELECT caption_id, path AS video_path FROM {_FIRST} WHERE rn = 1 ORDER BY caption_id LIMIT 500",
-    "resume_anti_join": """SELECT provider, count(*) AS n, CAST(sum(caption_id) AS BIGINT) AS ids FROM clip_captions a WHERE NOT EXISTS (SELECT 1 FROM clip_captions b WHERE b.caption_error IS NOT NULL AND a.path = b.path
-  AND a.caption IS NOT DISTINCT FROM b.caption) GROUP BY provider""",
+    "resume_anti_join": """SELECT caption_id, path AS video_path, caption AS text, provider FROM clip_captions a WHERE NOT EXISTS (SELECT 1 FROM clip_captions b WHERE b.caption_error IS NOT NULL AND a.path = b.path
+  AND a.caption IS NOT DISTINCT FROM b.caption)""",
     "extras_left_join": "SELECT clip_id, coalesce(s, shard) AS shard, keep, caption FROM clip_results r LEFT JOIN (SELECT path, max(caption) AS caption, max(shard) AS s FROM clip_captions GROUP BY path) c ON c.path = r.source_path",
     "state_upsert": f"""SELECT coalesce(s.shard, n.shard) AS shard, CASE WHEN n.shard IS NOT NULL THEN true ELSE coalesce(downloaded, false) END AS downloaded, coalesce(scored, false) AS scored, coalesce(stage, 'pending') AS stage
   FROM {_ST} s FULL JOIN (SELECT DISTINCT shard FROM clip_results WHERE shard IS NOT NULL UNION SELECT 'zz_new.zip') n ON s.shard = n.shard""",
@@ -405,8 +420,7 @@ ORACLE = {
     "split_ntile": "SELECT shard, CAST(ntile(7) OVER (ORDER BY shard) - 1 AS INTEGER) AS chunk FROM (SELECT DISTINCT shard FROM shard_state)",
     "gpu_round_robin": "SELECT CAST(chunk % 3 AS INTEGER) AS gpu, count(*) AS shards FROM (SELECT (row_number() OVER (ORDER BY shard) - 1) // CAST(ceil(count(*) OVER () / 7.0) AS BIGINT) AS chunk FROM (SELECT DISTINCT shard FROM shard_state)) GROUP BY 1",
     "parse_chat_completion": f"SELECT caption_id, nullif({_BLANK.format('c')}, '') AS content FROM (SELECT caption_id, CASE WHEN caption_id % 3 = 0 THEN concat_ws(chr(10), caption, 'end') ELSE caption END AS c FROM (SELECT DISTINCT caption_id, caption FROM clip_captions))",
-    "parse_generic_response": f"""SELECT caption_id, nullif({_BLANK.format("CASE WHEN caption_id % 4 = 3 THEN '~' || caption ELSE caption END")}, '') AS content FROM (SELECT DISTINCT caption_id, caption FROM clip_captions
-  WHERE caption IS NOT NULL AND caption NOT LIKE '%"%' AND caption NOT LIKE '%`%' AND NOT contains(caption, chr(92)) AND NOT contains(caption, chr(10)))""",
+    "parse_generic_response": f"""SELECT caption_id, nullif({_BLANK.format("CASE WHEN caption_id % 4 = 3 THEN '~' || caption WHEN caption IS NULL AND caption_id % 4 < 2 THEN '7' ELSE caption END")}, '') AS content FROM (SELECT DISTINCT caption_id, caption FROM clip_captions)""",
     "caption_fallback": f"""SELECT caption_id, CASE WHEN ve IS NOT NULL OR v IS NULL THEN NULL WHEN re IS NOT NULL THEN v ELSE coalesce(r, v) END AS caption, CASE WHEN ve IS NULL THEN v END AS caption_visual,
   CASE WHEN ve IS NOT NULL THEN 'visual_failed:' || ve WHEN v IS NULL THEN 'rewrite_skipped:visual_caption_missing' WHEN re IS NOT NULL THEN 'rewrite_failed:' || re WHEN r IS NULL THEN 'rewrite_empty_fallback_visual' END AS caption_error
   FROM (SELECT caption_id, nullif({_BLANK.format('caption_visual')}, '') AS v, CASE WHEN k = 'visual_failed' THEN e END AS ve, CASE WHEN k = 'rewrite_failed' THEN e END AS re, CASE WHEN k IS DISTINCT FROM 'rewrite_empty' THEN nullif({_BLANK.format('caption')}, '') END AS r

@@ -247,7 +247,7 @@ ORACLE = {
   count(*) FILTER (r NOT IN ('split_failed', 'flash', 'ocr_text')) AS clips_after_ocr, count(*) FILTER (r NOT IN ('split_failed', 'flash', 'ocr_text')) AS clips_scored, count(*) FILTER (k) AS clips_kept
   FROM (SELECT shard, k, coalesce(reason, '') AS r FROM ({_FUNNEL.format(drop="WHEN flash_hit THEN 'flash' WHEN ocr_hit THEN 'ocr_text'")})) GROUP BY ALL""",
     "flash_record_only": f"SELECT flash_hit, ocr_hit, k AS keep, count(*) AS clips FROM ({_FUNNEL.format(drop='')}) GROUP BY ALL",
-    "fused_score": f"SELECT clip_id, round(CASE WHEN t IS NULL THEN a WHEN a IS NULL THEN t ELSE {_SIG} END, 6) + 0.0 AS fused FROM (SELECT clip_id, scores['dover_tech'] AS t, scores['dover'] AS a FROM clip_results) WHERE (t IS NULL OR NOT isnan(t)) AND (a IS NULL OR NOT isnan(a))",
+    "fused_score": f"SELECT clip_id, round(CASE WHEN t IS NULL THEN a WHEN a IS NULL THEN t ELSE {_SIG} END, 6) + 0.0 AS fused FROM (SELECT clip_id, scores['dover_tech'] AS t, scores['dover'] AS a FROM clip_results)",
     "branch_outputs": f"""SELECT name, count(v) AS n, round(avg(v), 6) AS mean FROM (SELECT name, CASE WHEN mode = 'technical' THEN coalesce(t, a) WHEN mode = 'aesthetic' THEN coalesce(a, t)
   WHEN t IS NULL THEN a WHEN a IS NULL THEN t ELSE {_SIG} END AS v FROM (SELECT CASE WHEN NOT isnan(scores['dover_tech']) THEN scores['dover_tech'] END AS t, CASE WHEN NOT isnan(scores['dover']) THEN scores['dover'] END AS a FROM clip_results),
   (SELECT name, extra['output'] AS mode FROM score_models WHERE kind = 'dover')) GROUP BY ALL""",
@@ -255,9 +255,9 @@ ORACLE = {
   FROM (SELECT label, embedding, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS n FROM embeddings)) GROUP BY ALL""",
     "flow_magnitude": "SELECT vec_id, round(list_avg(list_transform(range(1, 33), lambda i: sqrt(CAST(embedding[i] AS DOUBLE) * embedding[i] + CAST(embedding[i + 32] AS DOUBLE) * embedding[i + 32]))), 6) AS magnitude FROM embeddings",
     "calibration_quantiles": """SELECT name, q, round(value, 6) AS value FROM (SELECT x.key AS name, unnest([0.1, 0.4, 0.5, 0.7, 0.95]::DOUBLE[]) AS q, unnest(quantile_cont(x.value, [0.1, 0.4, 0.5, 0.7, 0.95])) AS value
-  FROM (SELECT unnest(map_entries(scores)) AS x FROM clip_results) WHERE x.key <> 'sanity' AND x.value IS NOT NULL AND NOT isnan(x.value) GROUP BY x.key)""",
+  FROM (SELECT unnest(map_entries(scores)) AS x FROM clip_results) WHERE x.value IS NOT NULL AND NOT isnan(x.value) GROUP BY x.key)""",
     "calibration_cap": "SELECT count(*) AS n_rows, CAST(sum(size_bytes) AS BIGINT) AS size_bytes FROM (SELECT size_bytes FROM clip_results WHERE scores IS NOT NULL ORDER BY source_path, scored_at, size_bytes LIMIT 3000)",
-    "calibration_wide": "SELECT shard, " + ", ".join(f"count(scores['{n}']) AS n_{n}" for n in NAMES) + " FROM clip_results GROUP BY shard",
+    "calibration_wide": "SELECT shard, " + ", ".join(f"count(scores['{n}']) AS n_{n}" for n in ["sanity", *NAMES]) + " FROM clip_results GROUP BY shard",
     "threshold_grid": f"SELECT {', '.join(_D.format(n, n) for n in GRID)}, tp, fp, fn, round(prec, 9) AS prec, round(rec, 9) AS rec FROM ({_GRID})",
     "top_thresholds": f"SELECT {', '.join(_D.format(n, n) for n in GRID)}, tp, fp, fn, CAST(row_number() OVER (ORDER BY rec DESC, prec DESC, dover, aes, motion) AS INTEGER) AS place FROM ({_GRID}) QUALIFY place <= 10",
     "flash_filter": f"""SELECT path, count(*) AS n_samples, count(*) FILTER (abs(v - p) >= 60) AS n_events, round(count(*) FILTER (abs(v - p) >= 60) / count(*), 9) AS flash_ratio,
