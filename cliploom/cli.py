@@ -1,4 +1,4 @@
-"""Command line: python -m cliploom.cli {offline-filter,calibrate,grid-search,monitor,split,upload-manifest,doctor} ..."""
+"""Command line: python -m cliploom.cli {filter,caption,full,offline-filter,calibrate,grid-search,monitor,split,upload-manifest,doctor} ..."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import shutil
 import sys
 from collections.abc import Sequence
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cliploom import config as configuration
@@ -42,6 +43,8 @@ def _parser() -> argparse.ArgumentParser:
     a = sub.add_parser("grid-search", help="precision and recall of threshold combinations against a label")
     a.add_argument("--metadata", required=True)
     a.add_argument("--label", default="keep_gt")
+    a.add_argument("--labels", help="CSV or parquet with the label of each key, if the metadata has none")
+    a.add_argument("--key", default="source_path")
     a.add_argument("--grid", required=True, help='JSON, such as {"aes": [4, 5]}')
     a.add_argument("--output")
     a = sub.add_parser("monitor", help="progress of shard states")
@@ -55,6 +58,12 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--folder", required=True)
     a.add_argument("--pattern", action="append", default=[])
     a.add_argument("--output", required=True)
+    for name, about in (("filter", "split, filter, score and decide shards of frame features"), ("caption", "caption kept clips"), ("full", "filter, then caption")):
+        a = sub.add_parser(name, help=about)
+        a.add_argument("--config", required=True)
+        a.add_argument("--videos", help="parquet: shard, path, fps, total_frames, width, height, size_bytes")
+        a.add_argument("--frames", help="parquet: path, frame_idx and features of frames")
+        a.add_argument("--output", required=True)
     sub.add_parser("doctor", help="check what is installed")
     return p
 
@@ -65,6 +74,13 @@ def doctor() -> list[tuple[str, bool, str]]:
     return [*found, *[(x, shutil.which(x) is not None, shutil.which(x) or "not found") for x in ("java", "ffmpeg")]]
 
 
+def _print(rows: DataFrame) -> None:
+    """All rows, a line each, as they come."""
+    print("\t".join(rows.columns))
+    for r in rows.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in r))
+
+
 def main(argv: Sequence[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     if args.command == "doctor":
@@ -88,9 +104,13 @@ def main(argv: Sequence[str] | None = None) -> int:
         rows = calibrate.capped(manifests.read_metadata(spark, args.metadata), ["source_path"], args.sample_size)
         if args.output:
             sink.write_calibration(rows, args.output)
-        calibrate.quantiles(rows, [float(q) for q in args.quantiles.split(",")]).orderBy("name", "q").show(1000, False)
+        _print(calibrate.quantiles(rows, [float(q) for q in args.quantiles.split(",")]).orderBy("name", "q"))
     elif args.command == "grid-search":
-        rows = manifests.read_metadata(spark, args.metadata, f"{manifests.METADATA}, {args.label} boolean")
+        if args.labels:
+            read = spark.read.parquet(args.labels) if args.labels.endswith(".parquet") else spark.read.csv(args.labels, header=True)
+            rows = calibrate.with_labels(manifests.read_metadata(spark, args.metadata), read, args.key, args.label)
+        else:
+            rows = manifests.read_metadata(spark, args.metadata, f"{manifests.METADATA}, {args.label} boolean")
         grid = json.loads(args.grid)
         table = calibrate.threshold_grid(rows, grid, args.label)
         if args.output:
@@ -99,13 +119,23 @@ def main(argv: Sequence[str] | None = None) -> int:
     elif args.command == "monitor":
         states = files.states(spark, args.state_dir, STATE).cache()
         progress.flag_totals(states).show()
-        progress.stage_counts(states).orderBy("place").show(100, False)
+        _print(progress.stage_counts(states).orderBy("place"))
         progress.average_duration(states).show()
         progress.oldest_active(states, "mtime").select("shard", "stage", "mtime").show(5, False)
     elif args.command == "split":
         shards = files.shard_list(spark, args.shards)
         divide = partition.balanced_chunks if args.balanced else partition.even_chunks
-        divide(shards, "shard", args.workers).withColumn("device", partition.round_robin(F.col("chunk"), args.devices)).orderBy("place").show(100_000, False)
+        divided = divide(shards, "shard", args.workers).withColumn("device", partition.round_robin(F.col("chunk"), args.devices)).orderBy("place")
+        _print(divided)
+    elif args.command in ("filter", "caption", "full"):
+        from cliploom.plans import shards as plan
+
+        conf = configuration.load(args.config)
+        if args.command != "caption":
+            log = plan.run(spark, conf, spark.read.parquet(args.videos), spark.read.parquet(args.frames), args.output)
+            print(json.dumps(log, ensure_ascii=False, indent=2))
+        if args.command != "filter":
+            plan.caption_kept(spark, conf, args.output)
     elif args.command == "upload-manifest":
         files.upload_manifest(files.listing(spark, [args.folder]), args.folder, args.pattern or ["**/*"]).write.mode("overwrite").parquet(args.output)
     return 0

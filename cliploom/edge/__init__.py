@@ -61,16 +61,94 @@ def _unsupported(_: dict[str, Any]) -> Column:
     raise NotImplementedError("this consistency scorer needs a model that isn't available")
 
 
-# Kinds that need no model. The stubs stand for checks still to be made.
-for _kind in ("dummy", "clip_consistency_stub", "egovideo_consistency_stub"):
+#: Stubs, which need no model, and the checks still to be made that they stand for.
+STUBS = {"clip_consistency_stub": "clip_text_consistency", "egovideo_consistency_stub": "egovideo_text_consistency"}
+for _kind in ("dummy", *STUBS):
     register_column_scorer(_kind, lambda options: F.lit(1.0))
 for _kind in ("clip_text_consistency", "egovideo_text_consistency"):
     register_column_scorer(_kind, _unsupported)
 
 
 def splitter(kind: str) -> Callable[..., DataFrame] | None:
-    """The registered splitter; an unknown kind falls back to the content detector, if that is registered."""
-    return _splitters.get(kind) or _splitters.get("pyscenedetect")
+    """The splitter registered under ``kind``, which then takes the place of the built-in one."""
+    return _splitters.get(kind)
+
+
+class Uploader(Protocol):
+    """Sends a file to a remote place; must bear being repeated."""
+
+    def upload(self, path: str, target: str) -> None: ...
+
+
+class Downloader(Protocol):
+    """Fetches a shard's archive to a local path; returns whether there was one."""
+
+    def download(self, shard: str, path: str) -> bool: ...
+
+
+_uploaders: dict[str, Callable[[dict[str, Any]], Uploader]] = {}
+_downloaders: dict[str, Callable[[dict[str, Any]], Downloader]] = {}
+
+
+def register_uploader(name: str, factory: Callable[[dict[str, Any]], Uploader]) -> None:
+    _uploaders[name] = factory
+
+
+def register_downloader(name: str, factory: Callable[[dict[str, Any]], Downloader]) -> None:
+    _downloaders[name] = factory
+
+
+def _attempts(call: Callable[[], Any], retry: int, wait: float) -> tuple[Any, str | None]:
+    """(result, error) of a call with ``retry`` further attempts."""
+    import time
+
+    for attempt in range(retry + 1):
+        try:
+            return call(), None
+        except Exception as e:
+            error = str(e) or type(e).__name__
+            if attempt < retry:
+                time.sleep(wait)
+    return None, error
+
+
+def transfer(files: DataFrame, kind: str, name: str, options: dict[str, Any], retry: int = 2) -> DataFrame:
+    """``files`` (source, target, ...) with ``done`` and ``error``: uploaded or downloaded on the executors, each with
+    ``retry`` further attempts; a failure is a row, not the end of the job."""
+    table = {"upload": _uploaders, "download": _downloaders}[kind]
+    if name not in table:
+        raise ValueError(f"unsupported {kind} {name}; supported: {', '.join(sorted(table))}")
+    factory = table[name]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mover = None
+        for batch in batches:
+            got = []
+            for r in batch.itertuples():
+                def call(r=r):
+                    nonlocal mover
+                    mover = mover or factory(options)  # once a worker
+                    done = mover.upload(r.source, r.target) if kind == "upload" else mover.download(r.source, r.target)
+                    return True if kind == "upload" else bool(done)
+
+                got.append(_attempts(call, retry, float(options.get("wait", 1.0))))
+            yield batch.assign(done=[bool(d) for d, _ in got], error=[e for _, e in got])
+
+    schema = T.StructType([*files.schema.fields, T.StructField("done", T.BooleanType()), T.StructField("error", T.StringType())])
+    return files.mapInPandas(run, schema)
+
+
+def clean(paths: DataFrame, root: str) -> None:
+    """Delete the files and folders of a column ``path`` that lie under ``root``; missing ones are no error."""
+    base = os.path.realpath(root)
+
+    def run(part: Iterator) -> None:
+        for r in part:
+            p = os.path.realpath(r["path"]) if r["path"] else base
+            if p != base and p.startswith(base + os.sep):
+                shutil.rmtree(p, ignore_errors=True) if os.path.isdir(p) else os.path.exists(p) and os.remove(p)
+
+    paths.select("path").foreachPartition(run)
 
 
 def caption_provider(name: str, options: dict[str, Any]) -> CaptionProvider:
@@ -92,10 +170,17 @@ def check_kinds(kinds: Sequence[str]) -> None:
 def _score_batches(factory: ScorerFactory, options: dict[str, Any]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer: Scorer | None = None
+        broken = False
         for batch in batches:
             values: list[float | None]
+            if scorer is None and not broken:
+                try:
+                    scorer = factory(options)  # once a worker, when the first batch comes
+                except Exception:
+                    broken = True
             if scorer is None:
-                scorer = factory(options)  # once a worker, when the first batch comes
+                yield batch.assign(score=pd.Series([None] * len(batch), index=batch.index, dtype="float64"), init_failed=True)
+                continue
             try:
                 values = list(scorer.score(batch))
                 if len(values) != len(batch):
@@ -107,29 +192,37 @@ def _score_batches(factory: ScorerFactory, options: dict[str, Any]) -> Callable[
                         values.append(list(scorer.score(batch.iloc[[i]]))[0])
                     except Exception:
                         values.append(None)  # becomes a scoring error of this record alone
-            yield batch.assign(score=pd.Series(values, index=batch.index, dtype="float64"))
+            yield batch.assign(score=pd.Series(values, index=batch.index, dtype="float64"), init_failed=False)
 
     return run
 
 
-def score(records: DataFrame, models: Sequence[tuple[str, str, dict[str, Any]]]) -> DataFrame:
+def score(records: DataFrame, models: Sequence[tuple[str, str, dict[str, Any]]], init_failed: str | None = None) -> DataFrame:
     """``records`` (video_path, text, meta, ...) with ``scores``, a map by model name; models are (name, kind, options).
 
+    ``init_failed`` names a column that tells whether a scorer of the record could not be started; its scores are null.
     Filter before this call: a Python step is not skipped for rows that a later filter drops.
     """
     check_kinds([kind for _, kind, _ in models])
     out, names = records, list(dict.fromkeys(name for name, _, _ in models))
-    last = {name: (kind, options) for name, kind, options in models}
+    last, flags = {name: (kind, options) for name, kind, options in models}, []
     for name in names:
         kind, options = last[name]
         if kind in _columns:
             out = out.withColumn(f"__s_{name}", _columns[kind](options))
         else:
-            schema = T.StructType([*out.schema.fields, T.StructField("score", T.DoubleType())])
-            out = out.mapInPandas(_score_batches(_scorers[kind], options), schema).withColumnRenamed("score", f"__s_{name}")
+            schema = T.StructType([*out.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("init_failed", T.BooleanType())])
+            out = out.mapInPandas(_score_batches(_scorers[kind], options), schema).withColumnRenamed("score", f"__s_{name}").withColumnRenamed("init_failed", f"__i_{name}")
+            flags.append(f"__i_{name}")
     pairs = [x for name in names for x in (F.lit(name), F.col(f"`__s_{name}`").cast("double"))]
     scores = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,double>")
-    return out.withColumn("scores", scores).drop(*[f"__s_{name}" for name in names])
+    out = out.withColumn("scores", scores)
+    if init_failed:
+        failed = F.lit(False)
+        for f in flags:
+            failed = failed | F.col(f"`{f}`")
+        out = out.withColumn(init_failed, failed)
+    return out.drop(*[f"__s_{name}" for name in names], *flags)
 
 
 def _caption_batches(factory: Callable[[dict[str, Any]], CaptionProvider], options: dict[str, Any], retry: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -224,8 +317,22 @@ def link_or_copy(source: str, target: str, copy: bool = False) -> bool:
 
 @F.arrow_udf(T.BooleanType())
 def exists(paths: pa.Array) -> pa.Array:
-    """Whether there is a file at each path, asked on the executors; a null path has none."""
-    return pa.array([p is not None and os.path.exists(p) for p in paths.to_pylist()], pa.bool_())
+    """Whether there is a file at each path or URI, asked on the executors; a null path has none."""
+    out = []
+    for p in paths.to_pylist():
+        if p is None:
+            out.append(False)
+        elif "://" in p or p.startswith("file:"):
+            from pyarrow import fs
+
+            try:
+                system, at = fs.FileSystem.from_uri(p)
+                out.append(system.get_file_info(at).type != fs.FileType.NotFound)
+            except (OSError, pa.ArrowInvalid):
+                out.append(False)
+        else:
+            out.append(os.path.exists(p))
+    return pa.array(out, pa.bool_())
 
 
 def materialize(rows: DataFrame, source: str, target: str, copy: bool = False) -> None:
@@ -247,3 +354,6 @@ def cut_command(video: str, start: float, end: float, target: str) -> list[str]:
 def scale_command(video: str, target: str, height: int = 720) -> list[str]:
     """Command that transcodes a video to a height."""
     return ["ffmpeg", "-y", "-i", video, "-vf", f"scale=-2:{height}", "-c:a", "copy", target]
+
+
+from cliploom.edge import scorers as _scorer_kinds  # noqa: E402,F401  (registers the model-backed kinds)

@@ -79,6 +79,12 @@ def capped(metadata: DataFrame, order: Sequence[str], sample_size: int = SAMPLE_
     return rows.orderBy(*order).limit(sample_size) if sample_size > 0 else rows
 
 
+def with_labels(rows: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
+    """``rows`` with the label given for their key, null without one; of several labels of a key the greatest counts."""
+    once = labels.groupBy(key).agg(F.max(F.col(label).try_cast("boolean")).alias("__label"))
+    return rows.drop(label).join(once, key, "left").withColumnRenamed("__label", label)
+
+
 def threshold_grid(rows: DataFrame, grid: dict[str, Sequence[float]], label: str, scores: str = "scores") -> DataFrame:
     """(a column per score, tp, fp, fn, prec, rec) of every threshold combination against a boolean label.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cliploom import edge
 from cliploom.operators import frames
 
 
@@ -34,7 +35,13 @@ def boundaries(rows: DataFrame, videos: DataFrame, threshold: float, model_thres
 
 
 def scene_spans(rows: DataFrame, videos: DataFrame, kind: str, threshold: float, min_scene_len: int = 15, model_threshold: float = 0.0, content: str = "content") -> DataFrame:
-    """Spans by splitter kind; an unknown kind is the adaptive one."""
-    if kind in ("transnet", "transnet_dali"):
+    """Spans by splitter kind; a registered splitter of the kind comes first, an unknown kind is the adaptive one.
+
+    ``transnet_dali`` is the adaptive one where there are no model scores; ``transnet`` then uses differences.
+    """
+    registered = edge.splitter(kind)
+    if registered is not None:
+        return registered(rows, videos, threshold=threshold, min_scene_len=min_scene_len, model_threshold=model_threshold)
+    if kind == "transnet" or (kind == "transnet_dali" and "boundary_score" in rows.columns):
         return boundaries(rows, videos, threshold, model_threshold)
     return adaptive(rows, videos, threshold, min_scene_len, content)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from cliploom import edge
 from cliploom.config import Config
 from cliploom.operators import records, select
-from cliploom.session import write_table
+from cliploom.operators.partition import numbered
+from cliploom.session import is_folder, write_table
 from cliploom.sinks import metadata as sink
 from cliploom.sources import files, manifests
 from cliploom.strategy.ir import compile_strategy
@@ -44,7 +45,8 @@ def load_records(spark: SparkSession, job: Job) -> DataFrame:
     parts = []
     if job.manifest:
         rows = manifests.read_manifest(spark, job.manifest)
-        parts.append(rows.select(F.lit(0).alias("part"), F.monotonically_increasing_id().alias("at"), F.lit("").alias("name"), "video_path", "text", "meta"))
+        at = F.col("line") if "line" in rows.columns else F.monotonically_increasing_id()
+        parts.append(rows.select(F.lit(0).alias("part"), at.alias("at"), F.lit("").alias("name"), "video_path", "text", "meta"))
     if job.folders:
         rows = files.videos(spark, job.folders, job.recursive)
         parts.append(rows.select(F.lit(1).alias("part"), F.lit(0).cast("bigint").alias("at"), F.col("video_path").alias("name"), "video_path", "text", "meta"))
@@ -57,11 +59,6 @@ def load_records(spark: SparkSession, job: Job) -> DataFrame:
     rows = rows.withColumn("ordinal", F.struct("part", "at", "name"))
     first = records.first_records(rows.select("ordinal", "video_path", "text", "meta"), ["video_path", "text"], "ordinal")
     first = records.limited(first, "ordinal", job.limit)
-    ordered = first.orderBy("ordinal").select(F.col("video_path").alias("source_path"), "text", "meta")
-    from cliploom.operators.partition import numbered
-
-    if job.limit is not None and job.limit <= 100_000:
-        return ordered.withColumn("index", F.monotonically_increasing_id())
     keyed = first.select(F.format_string("%d|%020d|%s|%s", "ordinal.part", "ordinal.at", "ordinal.name", F.coalesce(F.col("text"), F.lit(""))).alias("key"), F.col("video_path").alias("source_path"), "text", "meta")
     return numbered(keyed, "key").drop("key").withColumnRenamed("place", "index")
 
@@ -70,7 +67,6 @@ def run(spark: SparkSession, config: Config, job: Job) -> dict:
     """Score, decide and append what isn't in the output yet; returns the run's log, which is also written."""
     began = time.time()
     output = job.output or os.path.join(config.workdir, "output", dt.datetime.now(dt.timezone.utc).strftime("offline_%Y%m%dT%H%M%SZ"))
-    os.makedirs(output, exist_ok=True)
     meta_path, log_path = os.path.join(output, "metadata.jsonl"), os.path.join(output, "runlog.json")
     text = job.strategy or config.selection.strategy
     strategy = compile_strategy(text) if text else None
@@ -81,24 +77,25 @@ def run(spark: SparkSession, config: Config, job: Job) -> dict:
         total = wanted.count()
         if not total:
             raise SystemExit("no records")
-        done = manifests.read_metadata(spark, meta_path) if job.resume and os.path.isdir(meta_path) else None
+        done = manifests.read_metadata(spark, meta_path) if job.resume and is_folder(meta_path) else None
         todo = records.pending(wanted, done, KEYS) if done is not None else wanted
         todo = write_table(todo, "pending")
         n = todo.count()
         if n:
             models = [(m.name, m.kind, {"batch_size": m.batch_size, "device": m.device, **m.extra}) for m in config.models]
-            scored = edge.score(todo.withColumnRenamed("source_path", "video_path"), models).withColumnRenamed("video_path", "source_path")
+            scored = edge.score(todo.withColumnRenamed("source_path", "video_path"), models, "__init_failed").withColumnRenamed("video_path", "source_path")
             reason = select.score_reason(F.col("scores"), config.thresholds(), strategy, F.col("text"), F.col("meta"))
-            decided = write_table(select.decide(scored, reason), "decided")
+            reason = select.drop_reason(reason, init_failed=F.col("__init_failed"))
+            decided = write_table(select.decide(scored, reason).drop("__init_failed"), "decided")
             sources = decided.where("keep").select(F.col("source_path").alias("path")).distinct()
             found = sources.where(edge.exists("path"))
-            pending_kinds = [m.kind for m in config.models if m.kind.endswith("_stub")]
+            pending_kinds = sink.pending_kinds([m.kind for m in config.models if m.kind in {*edge.STUBS, *edge.STUBS.values()}], edge.STUBS)
             rows = sink.offline_rows(decided, found, pending_kinds)
             rows = write_table(rows, "rows")
             targets = rows.where("keep").withColumn("target", F.concat(F.lit(os.path.join(output, "videos") + "/"), "output_path"))
             edge.materialize(targets, "source_path", "target", job.copy)
             sink.write_metadata(rows, meta_path, append=done is not None)
-        everything = manifests.read_metadata(spark, meta_path) if os.path.isdir(meta_path) else None
+        everything = manifests.read_metadata(spark, meta_path) if is_folder(meta_path) else None
         counts = {r["outcome"]: r["clips"] for r in select.reason_histogram(everything).collect()} if everything is not None else {}
         current = everything.join(wanted.select(*KEYS).distinct(), [everything[k].eqNullSafe(wanted[k]) for k in KEYS], "left_semi") if everything is not None else None
         log |= {"records_total": total, "processed": n, "pending": 0, "kept": counts.get("kept", 0), "dropped": sum(v for k, v in counts.items() if k != "kept"), "kept_of_inputs": current.where("keep").count() if current is not None else 0}

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cliploom import edge
 from cliploom.functions import kernels
 from cliploom.operators import calibrate, frames, scenes, select
 from cliploom.session import table
+from cliploom.sinks import metadata
+from cliploom.sources import manifests
 
 NAMES = ["dover", "dover_tech", "aes", "motion"]
 CHAIN = "0.2 < dover <= 0.9 and not (aes < 4 or motion % 7 > 5) or -dover_tech / dover_tech == -1 and dover + 0.5 > 1"
@@ -197,6 +200,15 @@ def scene_spans_differences(spark: SparkSession, d: str) -> DataFrame:
     return spans.select("path", "span_idx", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
 
 
+def offline_existence(spark: SparkSession, d: str) -> DataFrame:
+    """Clips as decided records whose sources are a table's own file for every third clip and otherwise aren't there."""
+    clips = table(spark, d, "clip_results").select(F.col("clip_id").alias("index"), "keep", "reason").distinct()
+    path = F.when(F.col("index") % 3 == 0, f"{d}/../{d.rstrip('/').rsplit('/', 1)[-1]}/./keep_targets.parquet").otherwise(F.concat(F.lit(f"{d}/gone_"), F.col("index").cast("string")))
+    rows = clips.withColumn("source_path", manifests.collapsed(path))
+    found = rows.where("keep").select(F.col("source_path").alias("path")).distinct().where(edge.exists("path"))
+    return metadata.offline_rows(rows, found).select("index", "keep", "reason", F.col("output_path").isNotNull().alias("has_output"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -204,7 +216,7 @@ QUERIES = {
         recorded_reasons, invalid_scores, funnel_counts, flash_record_only, fused_score, branch_outputs, linear_head_score,
         flow_magnitude, calibration_quantiles, calibration_cap, calibration_wide, threshold_grid, top_thresholds, flash_filter,
         text_area_any, frame_diff_normalised, boundary_spans, adaptive_ratio, adaptive_cuts, scene_spans_adaptive,
-        scene_spans_differences,
+        scene_spans_differences, offline_existence,
     )
 }
 
@@ -233,7 +245,21 @@ _GRID = f"""SELECT dover, aes, motion, tp, fp, fn, tp / (tp + fp + 1e-9) AS prec
 _D = "CAST({} AS DOUBLE) AS {}"
 _SIG = "1 / (1 + exp(-((t - 0.1107) / 0.07355 * 0.6104 + (a + 0.08285) / 0.03774 * 0.3896)))"
 
+# Ratios of frames, the hits among them, and cuts one after the other, each at least five frames after the last.
+_CUTS = f"""WITH RECURSIVE f AS ({_FR}), q AS (SELECT path, frame_idx, CASE WHEN m > 1e-5 THEN least(c / m, 255.0) WHEN c >= 15 THEN 255.0 ELSE 0.0 END AS ratio FROM (SELECT path, frame_idx, mean_luma AS c,
+  CASE WHEN count(*) OVER w > 1 THEN (sum(mean_luma) OVER w - mean_luma) / (count(*) OVER w - 1) END AS m FROM f WINDOW w AS (PARTITION BY path ORDER BY frame_idx ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))),
+  hits AS (SELECT path, list(frame_idx ORDER BY frame_idx) AS l FROM q WHERE ratio >= 2.0 GROUP BY path),
+  cuts AS (SELECT path, l, list_filter(l, lambda x: x >= 5)[1] AS pos FROM hits UNION ALL SELECT path, l, list_filter(l, lambda x: x >= pos + 5)[1] FROM cuts WHERE pos IS NOT NULL)
+"""
+
 ORACLE = {
+    "adaptive_cuts": _CUTS + "SELECT path, CAST(pos AS BIGINT) AS frame_idx FROM cuts WHERE pos IS NOT NULL",
+    "scene_spans_adaptive": _CUTS + """, n AS (SELECT path, max(frame_idx) AS stop FROM f GROUP BY path),
+  e AS (SELECT path, pos FROM cuts WHERE pos IS NOT NULL UNION SELECT path, stop FROM n),
+  s AS (SELECT path, pos, row_number() OVER w - 1 AS i, coalesce(lag(pos) OVER w, 0) AS a, lead(pos) OVER w IS NULL AS final FROM e WINDOW w AS (PARTITION BY path ORDER BY pos))
+  SELECT path, CAST(i AS INTEGER) AS span_idx, round(a / 25.0, 6) AS start, round(CASE WHEN final THEN (n.stop + 1) / 25.0 ELSE pos / 25.0 END, 6) AS "end" FROM s JOIN n USING (path)""",
+    "offline_existence": """SELECT clip_id AS index, keep AND clip_id % 3 = 0 AS keep, CASE WHEN keep AND clip_id % 3 <> 0 THEN 'source_missing' ELSE reason END AS reason, keep AND clip_id % 3 = 0 AS has_output
+  FROM (SELECT DISTINCT clip_id, keep, reason FROM clip_results)""",
     "select_thresholds": f"SELECT clip_id, reason IS NULL AS keep, reason FROM (SELECT clip_id, {_REASON} AS reason FROM ({_S}), ({_T}))",
     "select_strategy": _BY_STRATEGY.format(bad=_BAD, s=_S, t=_T, more="WHEN NOT (motion >= motion_thr AND (aes >= aes_thr OR dover_tech > 0)) THEN 'strategy_filtered'"),
     "strategy_chain_compare": _BY_STRATEGY.format(bad=_BAD, s=_S, t=_T, more=f"WHEN {_CHAIN_SQL} THEN NULL WHEN dover_tech = 0 THEN 'strategy_error' WHEN -dover_tech / dover_tech = -1 AND dover + 0.5 > 1 THEN NULL ELSE 'strategy_filtered'"),

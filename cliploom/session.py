@@ -68,3 +68,18 @@ def release(spark: SparkSession) -> int:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the test tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def file_system(path: str):
+    """(file system, path within it) of a local path or a URI, for small files and checks outside of Spark."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else os.path.abspath(path))
+
+
+def is_folder(path: str) -> bool:
+    """Whether there is a folder at a local path or URI."""
+    from pyarrow import fs
+
+    system, at = file_system(path)
+    return system.get_file_info(at).type == fs.FileType.Directory

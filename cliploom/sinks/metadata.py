@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cliploom.functions.text import output_name
 from cliploom.operators.records import with_extras
+from cliploom.session import file_system
 
 
 def shard_rows(results: DataFrame, listing: DataFrame, extras: DataFrame | None = None) -> DataFrame:
@@ -57,11 +58,12 @@ def write_grid(table: DataFrame, path: str) -> None:
 
 
 def write_run_log(path: str, status: str, counts: Mapping[str, int], **config: object) -> None:
-    """A run's log as one JSON file, replaced in one step."""
-    work = f"{path}.tmp"
-    with open(work, "w", encoding="utf-8") as f:
-        json.dump({"status": status, "reason_counts": dict(counts), **config}, f, ensure_ascii=False, indent=2)
-    os.replace(work, path)
+    """A run's log as one JSON file at a local path or URI, replaced in one step."""
+    system, at = file_system(path)
+    system.create_dir(os.path.dirname(at), recursive=True)
+    with system.open_output_stream(f"{at}.tmp") as f:
+        f.write(json.dumps({"status": status, "reason_counts": dict(counts), **config}, ensure_ascii=False, indent=2).encode())
+    system.move(f"{at}.tmp", at)
 
 
 def pending_kinds(kinds: list[str], aliases: Mapping[str, str]) -> list[str]:
@@ -70,7 +72,7 @@ def pending_kinds(kinds: list[str], aliases: Mapping[str, str]) -> list[str]:
 
 
 def write_states(states: DataFrame, path: str) -> None:
-    """Current states as a table of one row per shard, replaced as a whole; the save history is kept elsewhere."""
+    """Current states as a table of one row per shard, replaced as a whole; saves of single shards are ``plans.shards.Store``'s."""
     states.write.mode("overwrite").parquet(path)
 
 

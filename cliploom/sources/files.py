@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cliploom.functions.text import base_name, stem, strip, suffix
+from cliploom.session import is_folder
 
 #: Extensions of videos and of archives.
 VIDEO_SUFFIXES = (".mp4", ".avi", ".mov", ".mkv", ".webm", ".flv", ".wmv", ".m4v")
@@ -25,7 +26,7 @@ def listing(spark: SparkSession, roots: Iterable[str], recursive: bool = True) -
     """
     good = []
     for r in roots:
-        if "://" in r or os.path.isdir(r):
+        if is_folder(r):
             good.append(r)
         else:
             warnings.warn(f"not a folder, skipped: {r}", stacklevel=2)

@@ -1,3 +1,4 @@
+from cliploom import edge
 import json
 
 import pytest
@@ -99,3 +100,21 @@ def test_table_sinks(spark, tmp_path):
     assert "".join(p.read_text() for p in (tmp_path / "su").glob("part-*")).strip() == '{"shard":"s","clips":null}'
     sink.write_run_log(str(tmp_path / "log.json"), "success", {"flash": 2}, strategy=None)
     assert json.loads((tmp_path / "log.json").read_text()) == {"status": "success", "reason_counts": {"flash": 2}, "strategy": None}
+
+
+def test_manifest_paths_are_collapsed_and_errors_name_the_line(spark, tmp_path):
+    names = ["./v/a.mp4", "v/../v/b.mp4", "/x//y/./c.mp4", "../../../../../../../../top.mp4", "s3://bucket/p/../q.mp4", "file:///x/../y.mp4", "v/..hidden/.d.mp4"]
+    (tmp_path / "m.jsonl").write_text("\n\n".join(json.dumps({"video_path": n}) for n in names))
+    rows = sorted(manifests.read_manifest(spark, str(tmp_path / "m.jsonl")).collect(), key=lambda r: r.line)
+    assert [r.line for r in rows] == [1, 3, 5, 7, 9, 11, 13]
+    assert [r.video_path for r in rows] == [f"{tmp_path}/v/a.mp4", f"{tmp_path}/v/b.mp4", "/x/y/c.mp4", "/top.mp4", "s3://bucket/q.mp4", "file:///y.mp4", f"{tmp_path}/v/..hidden/.d.mp4"]
+    (tmp_path / "bad.jsonl").write_text('{"video_path": "a"}\n\n{"text": "x"}\n')
+    with pytest.raises(Exception, match="manifest line 3 has no video_path"):
+        manifests.read_manifest(spark, str(tmp_path / "bad.jsonl")).collect()
+
+
+def test_files_exist_by_path_and_uri(spark, tmp_path):
+    (tmp_path / "a").touch()
+    paths = [str(tmp_path / "a"), f"file://{tmp_path}/a", f"file://{tmp_path}/b", str(tmp_path / "b"), None, "nosuch://x/y"]
+    got = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string").select("i", edge.exists("p").alias("there")).collect()
+    assert [r.there for r in sorted(got)] == [True, True, False, False, False, False]
