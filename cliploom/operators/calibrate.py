@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cliploom.functions.kernels import safe_ratio
 from cliploom.session import write_table
 
 SAMPLE_SIZE = 10_000
@@ -112,8 +113,7 @@ def threshold_grid(rows: DataFrame, grid: dict[str, Sequence[float]], label: str
     table = asked.join(F.broadcast(hits), [f"__c{i}" for i in range(len(names))], "left").crossJoin(total)  # at most a row per combination
     none = F.lit(0).cast("bigint")
     table = table.select(*[F.col(f"`{n}`") for n in names], F.coalesce("tp", none).alias("tp"), F.coalesce("fp", none).alias("fp"), (F.col("__all") - F.coalesce("tp", none)).alias("fn"))
-    ratio = lambda other: F.col("tp") / (F.col("tp") + F.col(other) + F.lit(1e-9))
-    return table.withColumn("prec", ratio("fp")).withColumn("rec", ratio("fn"))
+    return table.withColumn("prec", safe_ratio(F.col("tp"), F.col("fp"))).withColumn("rec", safe_ratio(F.col("tp"), F.col("fn")))
 
 
 def best_thresholds(table: DataFrame, names: Sequence[str], n: int = 10) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,7 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` once to the shared folder and return a reader of it.
 
-    Unlike a local checkpoint the files outlive executors, so later stages may be retried anywhere.
+    Unlike a local checkpoint the files outlive executors, so later stages may be retried anywhere. The job runs now: an
+    operator that calls this does part of its work while its DataFrame is being built.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cliploom/{name}-{uuid.uuid4().hex}"
@@ -56,10 +59,21 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the tables that :func:`write_table` wrote in this process, once results that read them are stored."""
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what :func:`write_table` wrote inside; DataFrames made before keep their tables."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        release(spark, before)
+
+
+def release(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the tables that :func:`write_table` wrote in this process, but for the first ``keep``, once results that read
+    them are stored. DataFrames that still need theirs are protected by :func:`scratch`."""
     conf, n = spark._jsc.hadoopConfiguration(), 0
-    while _written:
+    while len(_written) > keep:
         path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
         n += bool(path.getFileSystem(conf).delete(path, True))
     return n

@@ -11,7 +11,7 @@ Divergence by design: string, None, complex and bytes literals are refused when
 from __future__ import annotations
 
 import ast
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -197,9 +197,3 @@ class Strategy:
 
 def compile_strategy(text: str) -> Strategy:
     return Strategy(text.strip() if text else "", parse(text))
-
-
-def first_bound(options: Iterable[Column | None]) -> Column | None:
-    """The first of several bindings of a name that a row has."""
-    given = [c for c in options if c is not None]
-    return F.coalesce(*given) if given else None

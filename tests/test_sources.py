@@ -118,3 +118,15 @@ def test_files_exist_by_path_and_uri(spark, tmp_path):
     paths = [str(tmp_path / "a"), f"file://{tmp_path}/a", f"file://{tmp_path}/b", str(tmp_path / "b"), None, "nosuch://x/y"]
     got = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string").select("i", edge.exists("p").alias("there")).collect()
     assert [r.there for r in sorted(got)] == [True, True, False, False, False, False]
+
+
+def test_scratch_tables_go_and_others_stay(spark):
+    from cliploom.session import scratch, write_table
+
+    kept = write_table(spark.range(3), "kept")
+    with scratch(spark):
+        gone = write_table(spark.range(4), "gone")
+        assert gone.count() == 4
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|FileNotFound|NOT_EXIST"):
+        spark.read.parquet(gone.inputFiles()[0]).count()
