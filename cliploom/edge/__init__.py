@@ -74,6 +74,52 @@ def splitter(kind: str) -> Callable[..., DataFrame] | None:
     return _splitters.get(kind)
 
 
+class FrameReader(Protocol):
+    """Decodes frames of a clip: how many it has, and some of them as JPEG no larger than ``max_side``."""
+
+    def total(self, path: str) -> int: ...
+    def jpeg(self, path: str, frames: Sequence[int], max_side: int) -> Sequence[bytes]: ...
+
+
+_readers: dict[str, Callable[[dict[str, Any]], FrameReader]] = {}
+
+
+def register_frame_reader(name: str, factory: Callable[[dict[str, Any]], FrameReader]) -> None:
+    _readers[name] = factory
+
+
+def caption_frames(total: int, wanted: int) -> list[int]:
+    """Frame numbers for a caption: evenly from the first to the last, the middle one if one is wanted."""
+    if total <= 0 or wanted <= 0:
+        return []
+    if wanted == 1:
+        return [total // 2]
+    return sorted({min(round(i * (total - 1) / (wanted - 1)), total - 1) for i in range(wanted)})
+
+
+def read_frames(clips: DataFrame, name: str, options: dict[str, Any], num_frames: int, max_side: int) -> DataFrame:
+    """``clips`` (path, ...) with ``frames``; whatever fails in decoding a clip leaves it without pictures."""
+    factory = _readers[name]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = None
+        for batch in batches:
+            out = []
+            for path in batch["path"]:
+                try:
+                    reader = reader or factory(options)  # once a worker
+                    out.append([bytes(b) for b in reader.jpeg(path, caption_frames(reader.total(path), num_frames), max_side)])
+                except Exception:
+                    out.append([])
+            yield batch.assign(frames=out)
+
+    return clips.mapInPandas(run, T.StructType([*clips.schema.fields, T.StructField("frames", T.ArrayType(T.BinaryType()))]))
+
+
+def has_frame_reader(name: str) -> bool:
+    return name in _readers
+
+
 class Uploader(Protocol):
     """Sends a file to a remote place; must bear being repeated."""
 

@@ -120,7 +120,7 @@ def run(spark: SparkSession, config: Config, videos: DataFrame, features: DataFr
 def caption_kept(spark: SparkSession, config: Config, output: str) -> DataFrame:
     """(path, caption, caption_visual, caption_error) of kept clips without a caption, stored and returned.
 
-    The visual stage looks at the clip, the rewriting stage at its answer; a failed rewriting leaves the visual caption.
+    Frames come from the reader registered as ``frames``, if there is one. The visual stage looks at the clip, the rewriting stage at its answer; a failed rewriting leaves the visual caption.
     """
     store, versions = Store(spark, output), Versions(spark, f"{output.rstrip('/')}/captions")
     m = versions.head() or {"version": 0, "jobs": []}
@@ -139,6 +139,8 @@ def caption_kept(spark: SparkSession, config: Config, output: str) -> DataFrame:
     first = config.caption.visual or config.caption.single
     if first is None:
         raise ValueError("no caption stage is configured")
+    if edge.has_frame_reader("frames"):
+        clips = edge.read_frames(clips, "frames", {}, first.num_frames, first.max_side)
     seen = write_table(ask(clips, first, captions.prompt(F.lit(first.prompt), F.col("path"))), "visual-captions").select("path", F.col("response").alias("visual"), F.col("error").alias("visual_error"))
     second = config.caption.rewrite
     if second is not None:

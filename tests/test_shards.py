@@ -81,6 +81,23 @@ def test_captions_of_kept_clips(spark, tables, tmp_path):
     assert [r.path for r in shards.caption_kept(spark, config.from_dict(conf), out).collect()] == ["a/flash.mp4"]
 
 
+def test_frames_for_captions_and_failures_without_pictures(spark):
+    class Reader:
+        def total(self, path):
+            return 9
+
+        def jpeg(self, path, frames, max_side):
+            if path == "bad":
+                raise OSError("no video")
+            return [f"{i}@{max_side}".encode() for i in frames]
+
+    edge.register_frame_reader("r", lambda options: Reader())
+    clips = spark.createDataFrame([("ok", 1), ("bad", 2)], "path string, other int")
+    got = {r.path: ([bytes(b) for b in r.frames], r.other) for r in edge.read_frames(clips, "r", {}, 3, 64).collect()}
+    assert got == {"ok": ([b"0@64", b"4@64", b"8@64"], 1), "bad": ([], 2)}
+    assert edge.caption_frames(10, 1) == [5] and edge.caption_frames(0, 3) == [] and edge.caption_frames(2, 5) == [0, 1]
+
+
 def test_scorers_that_cannot_start_and_model_kinds(spark):
     df = spark.createDataFrame([("v1", None), ("v2", None)], "video_path string, text string").withColumn("meta", calibrate.F.create_map().cast("map<string,string>"))
     got = edge.score(df, [("m", "unimatch_flow", {}), ("d", "dummy", {})], "failed").collect()
